@@ -20,11 +20,13 @@ _PKEY = "_rt_part"
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
-                   n_buckets: int = 64, accuracy: int = 10_000) -> DataFrame:
+                   n_buckets: int = 64, accuracy: int = 10_000,
+                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c``) for every ``c`` in ``sum_cols``.
 
-    ``order_col`` must be numeric and unique within ``partition_cols``.  Rows are
-    ordered ascending, or descending when ``descending``.
+    ``order_col`` must be numeric and, together with ``tiebreak`` (ascending),
+    unique within ``partition_cols``.  Rows are ordered ascending by
+    ``order_col``, or descending when ``descending``.
     """
     parts = list(partition_cols)
     base = df
@@ -42,7 +44,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     bucketed = base.join(F.broadcast(edges), parts).withColumn(
         "_rt_b", F.size(F.filter("_rt_edges", lambda e: e < F.col("_rt_key")))).drop("_rt_edges")
     # running sums inside each bucket (buckets are balanced by the edges)
-    w_in = (Window.partitionBy(*parts, "_rt_b").orderBy("_rt_key")
+    w_in = (Window.partitionBy(*parts, "_rt_b").orderBy("_rt_key", *tiebreak)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = bucketed.select("*", *[F.sum(c).over(w_in).alias(f"_rt_in_{c}") for c in sum_cols])
     # offsets: totals of all earlier buckets, from a table of groups x n_buckets rows
@@ -61,8 +63,10 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
 
 def global_index(df: DataFrame, order_col: str, descending: bool = False,
-                 partition_cols: Sequence[str] = (), n_buckets: int = 64) -> DataFrame:
-    """1-based position of each row along ``order_col`` (unique within partitions)."""
+                 partition_cols: Sequence[str] = (), n_buckets: int = 64,
+                 tiebreak: Sequence[str] = ()) -> DataFrame:
+    """1-based position of each row along (``order_col``, ``tiebreak``) within partitions."""
     one = df.withColumn("_gi_one", F.lit(1))
-    out = running_totals(one, order_col, ["_gi_one"], partition_cols, descending, n_buckets)
+    out = running_totals(one, order_col, ["_gi_one"], partition_cols, descending, n_buckets,
+                         tiebreak=tiebreak)
     return out.withColumnRenamed("cum__gi_one", "pos").drop("_gi_one")

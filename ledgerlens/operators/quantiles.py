@@ -62,11 +62,38 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     .alias("p"), "value"))
 
 
+# ``percentile`` keeps one (value, count) entry per distinct value in a single
+# task; below this many distinct values per column that buffer is small.
+INMEM_DISTINCT_LIMIT = 1_000_000
+
+
+def inmem_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    aggs = [F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
+                         F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c in cols]
+    row = df.agg(*aggs)
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("vals")) for c in cols])
+    return (row.select(F.explode(arr).alias("x"))
+            .select("x.column", F.posexplode("x.vals").alias("i", "value"))
+            .select("column", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
+                    .alias("p"), "value"))
+
+
+def distinct_estimate(df: DataFrame, cols: Sequence[str]) -> int:
+    """Largest approximate distinct count among ``cols`` (one small aggregate job)."""
+    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    return max(int(row[c] or 0) for c in cols) if row is not None else 0
+
+
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   exact: bool = True, accuracy: int = 100_000) -> DataFrame:
-    if exact:
-        return exact_quantiles(df, cols, probs)
-    return approx_quantiles(df, cols, probs, accuracy)
+                   exact: bool = True, accuracy: int = 100_000,
+                   inmem_limit: int = INMEM_DISTINCT_LIMIT) -> DataFrame:
+    """Exact quantiles: in one aggregate when the checked distinct count is small,
+    else the distributed rank join; ``exact=False`` gives ``percentile_approx``."""
+    if not exact:
+        return approx_quantiles(df, cols, probs, accuracy)
+    if distinct_estimate(df, cols) <= inmem_limit:
+        return inmem_quantiles(df, cols, probs)
+    return exact_quantiles(df, cols, probs)
 
 
 def percentile_caps(df: DataFrame, cols: Sequence[str],
