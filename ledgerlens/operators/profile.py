@@ -67,7 +67,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
         arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("n_unique"))
                         for c in cols])
         return row.select(F.explode(arr).alias("x")).select("x.*")
-    lv = long_values(df, cols).groupBy("column", "value").agg()
+    lv = long_values(df, cols).distinct()
     return lv.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
 
 
@@ -156,31 +156,80 @@ def hist_equal_width(df: DataFrame, cols: Optional[Sequence[str]] = None, bins:
                     (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"), "count"))
 
 
-def corr_matrix(df: DataFrame, cols: Optional[Sequence[str]] = None, batch: int = 250,
-                persist: bool = True) -> DataFrame:
-    """Pearson correlation of every pair (i < j), pairwise-complete, as (col_a, col_b, corr).
+_MOMENT_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
-    Pairs go through ``safe_corr`` in batches of ``batch`` aggregates over a
-    persisted frame of just the numeric columns (NaN -> NULL first).  Constant
-    columns give NULL.
+
+def _partition_moments(shift, pairs_i, pairs_j):
+    """Per partition: pairwise-complete shifted sums for the requested (i, j) pairs.
+
+    Nulls are NaN in the Arrow batches; M = present mask, X0 = shifted values
+    with 0 where missing.  n = M'M, Sx = X0'M, Sxx = (X0*X0)'M, Sxy = X0'X0 give,
+    for each pair, the count and sums over the rows where both are present.
+    One small table of len(pairs) rows leaves each partition.
     """
+    import numpy as np
+    import pandas as pd
+
+    sh = np.asarray(shift, dtype="float64")
+    ii, jj = np.asarray(pairs_i), np.asarray(pairs_j)
+
+    def run(batches):
+        acc = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = pdf.to_numpy(dtype="float64", na_value=np.nan) - sh
+            m = (~np.isnan(x)).astype("float64")
+            x0 = np.where(m > 0, x, 0.0)
+            cur = (m.T @ m, x0.T @ m, (x0 * x0).T @ m, x0.T @ x0)
+            acc = cur if acc is None else tuple(a + b for a, b in zip(acc, cur))
+        if acc is None:
+            return
+        n, sx, sxx, sxy = acc
+        yield pd.DataFrame({"i": ii.astype("int32"), "j": jj.astype("int32"), "n": n[ii, jj],
+                            "sx": sx[ii, jj], "sy": sx[jj, ii], "sxx": sxx[ii, jj], "syy": sxx[jj, ii],
+                            "sxy": sxy[ii, jj]})
+    return run
+
+
+def pair_correlations(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple]) -> DataFrame:
+    """Pearson r for (a, b) pairs, pairwise-complete, in ONE pass over the data.
+
+    Columns are shifted by their means (one cheap aggregate) so the sums stay
+    accurate; each partition emits one row per pair (numpy matrix products on
+    its Arrow batches), Spark sums them per pair with a map-side partial
+    aggregate, and r = (n Sxy - Sx Sy) / sqrt((n Sxx - Sx^2)(n Syy - Sy^2))
+    is finished in JVM expressions.  A side without variance gives NULL.
+    Output: (col_a, col_b, corr).
+    """
+    spark = df.sparkSession
+    cols = list(cols)
+    pos = {c: k for k, c in enumerate(cols)}
+    narrow = df.select(*[_clean(df, c).cast("double").alias(f"c{k}") for k, c in enumerate(cols)])
+    means = narrow.agg(*[F.avg(f"c{k}").alias(f"c{k}") for k in range(len(cols))]).first()
+    shift = [float(means[f"c{k}"]) if means[f"c{k}"] is not None else 0.0 for k in range(len(cols))]
+    pi = [pos[a] for a, _ in pairs]
+    pj = [pos[b] for _, b in pairs]
+    stats = narrow.mapInPandas(_partition_moments(shift, pi, pj), _MOMENT_SCHEMA)
+    tot = stats.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    vx = n * F.col("sxx") - sx * sx
+    vy = n * F.col("syy") - sy * sy
+    num = n * F.col("sxy") - sx * sy
+    r = F.when((n > 0) & (vx > 0) & (vy > 0), num / F.sqrt(vx * vy))
+    r = F.when(r > 1.0, F.lit(1.0)).when(r < -1.0, F.lit(-1.0)).otherwise(r)
+    names = spark.createDataFrame([(k, c) for c, k in pos.items()], "k int, name string")
+    na = names.select(F.col("k").alias("i"), F.col("name").alias("col_a"))
+    nb = names.select(F.col("k").alias("j"), F.col("name").alias("col_b"))
+    return (tot.select("i", "j", r.alias("corr")).join(F.broadcast(na), "i").join(F.broadcast(nb), "j")
+            .select("col_a", "col_b", "corr"))
+
+
+def corr_matrix(df: DataFrame, cols: Optional[Sequence[str]] = None) -> DataFrame:
+    """Pearson correlation of every pair (i < j), pairwise-complete, as (col_a, col_b, corr)."""
     cols = list(cols) if cols is not None else numeric_cols(df)
-    narrow = df.select(*[_clean(df, c).cast("double").alias(c) for c in cols])
-    if persist:
-        narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    rows = []
-    try:
-        for s in range(0, len(pairs), batch):
-            chunk = pairs[s:s + batch]
-            r = narrow.agg(*[safe_corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(chunk)]).first()
-            for k, (a, b) in enumerate(chunk):
-                v = r[f"c{k}"]
-                rows.append((a, b, None if v is None or v != v else float(v)))
-    finally:
-        if persist:
-            narrow.unpersist()
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
+    pairs = [(a, b) for k, a in enumerate(cols) for b in cols[k + 1:]]
+    return pair_correlations(df, cols, pairs)
 
 
 def corr_top_pairs(df: DataFrame, k: int = 30, threshold: float = 0.98,
@@ -205,11 +254,8 @@ def corr_with_target(df: DataFrame, target: str = "target", k: int = 20,
                      exclude: Iterable[str] = ("id", "rn")) -> DataFrame:
     """Top-k features by |corr(feature, target)| in one aggregate."""
     feats = numeric_cols(df, set(exclude) | {target})
-    row = df.agg(*[safe_corr(_clean(df, c).cast("double"), F.col(target).cast("double")).alias(c)
-                   for c in feats])
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr")) for c in feats])
-    t = row.select(F.explode(arr).alias("x")).select("x.*").filter(
-        F.col("corr").isNotNull() & ~F.isnan("corr"))
+    cm = pair_correlations(df, feats + [target], [(c, target) for c in feats])
+    t = cm.select(F.col("col_a").alias("feature"), "corr").filter(F.col("corr").isNotNull())
     return t.select("feature", "corr", F.abs("corr").alias("abs_corr")) \
         .orderBy(F.desc(F.round("abs_corr", 9)), "feature").limit(k)
 

@@ -75,7 +75,7 @@ reg("scan_by_suffix", W(LABELS_CTE) + "SELECT id, flag FROM labels_credit")
 _SHARD_EXPECTED = ["pre_loans_outstanding", "pre_loans_next_pay_summ", "pre_since_confirmed", "enc_paym_1",
                    "enc_paym_24"]
 _shard_parts = " UNION ALL ".join(
-    f"SELECT shard, n_rows, '{c}' AS column, "
+    f"SELECT shard, n_rows, '{c}' AS \"column\", "
     + rnd(f"nr_{c}", "null_rate") + " FROM sp" for c in _SHARD_EXPECTED)
 reg("shard_profile", W(CP, "sp AS (SELECT CAST(o_orderkey % 12 AS INT) AS shard, COUNT(*) AS n_rows, "
                        + ", ".join(
@@ -145,7 +145,7 @@ _V2_SENT = ("v2s AS (SELECT * REPLACE (COALESCE(paym_last_late_recency, CAST(25
 reg("prune_features", W(LATEST, v2_ctes("latest"), _V2_SENT) + finish("v2s", pruned(CP_COLS + V2_NAMES, False)))
 reg("trial_frame", W(CP) + "SELECT id, rn, pre_loans_credit_limit, pre_loans_outstanding, enc_paym_0, enc_paym_1, "
                            "enc_paym_2, is_zero_loans90, pre_loans90 FROM credit_products ORDER BY id, rn LIMIT 1000")
-_split_parts = ["SELECT 'id' AS column, 'categorical' AS kind, false AS is_binary"] + [
+_split_parts = ["SELECT 'id' AS \"column\", 'categorical' AS kind, false AS is_binary"] + [
     f"SELECT '{c}', '{'categorical' if 'enc_' in c else 'numeric'}', "
     f"COALESCE(BOOL_AND({c} IS NULL OR {c} IN (0, 1)), true) FROM credit_products" for c in CP_NUMERIC]
 reg("split_columns", W(CP) + " UNION ALL ".join(_split_parts))
@@ -168,39 +168,39 @@ reg("label_gap", W(CP, LABELS_CTE) + "SELECT DISTINCT id FROM credit_products WH
 reg("agg_max_by_id", W(CP) + "SELECT id, MAX(rn) AS max_rn FROM credit_products GROUP BY id")
 _LI_ALL = NUM_LI + ["l_returnflag", "l_linestatus", "l_shipdate"]
 reg("prof_basic", " UNION ALL ".join(
-    f"SELECT '{c}' AS column, COUNT(*) AS n_rows, {len(_LI_ALL)} AS n_cols, "
+    f"SELECT '{c}' AS \"column\", COUNT(*) AS n_rows, {len(_LI_ALL)} AS n_cols, "
     + rnd(f"AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)", "null_rate")
     + f", CAST(COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unique FROM lineitem"
     for c in _LI_ALL))
 _PCT = [(0.01, "p1"), (0.05, "p5"), (0.5, "p50"), (0.95, "p95"), (0.99, "p99")]
 reg("prof_numeric", " UNION ALL ".join(
-    f"SELECT '{c}' AS column, COUNT({c}) AS count, {rnd(f'AVG({c})', 'mean')}, {rnd(f'STDDEV_SAMP({c})', 'std')}, "
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, {rnd(f'AVG({c})', 'mean')}, {rnd(f'STDDEV_SAMP({c})', 'std')}, "
     f"{rnd(f'MIN({c})', 'min')}, "
     + ", ".join(rnd(f"quantile_cont({c}, {d(p)})", nm) for p, nm in _PCT)
     + f", {rnd(f'MAX({c})', 'max')} FROM lineitem" for c in NUM_LI))
 reg("prof_categorical", """WITH vals AS (
-  SELECT 'o_orderstatus' AS column, o_orderstatus AS value FROM orders
+  SELECT 'o_orderstatus' AS "column", o_orderstatus AS value FROM orders
   UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders),
-cnt AS (SELECT column, value, COUNT(*) AS n FROM vals GROUP BY column, value),
-rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY column ORDER BY n DESC, value ASC NULLS LAST) AS pos FROM cnt)
-SELECT column, (SELECT COUNT(*) FROM cnt c2 WHERE c2.column = rk.column) AS n_unique,
+cnt AS (SELECT "column", value, COUNT(*) AS n FROM vals GROUP BY "column", value),
+rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY n DESC, value ASC NULLS LAST) AS pos FROM cnt)
+SELECT "column", (SELECT COUNT(*) FROM cnt c2 WHERE c2."column" = rk."column") AS n_unique,
   STRING_AGG(COALESCE(value, 'nan') || ':' || CAST(n AS VARCHAR), ', ' ORDER BY pos) AS top_values
-FROM rk WHERE pos <= 5 GROUP BY column""")
-_miss = " UNION ALL ".join(f"SELECT '{c}' AS column, AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate "
+FROM rk WHERE pos <= 5 GROUP BY 1""")
+_miss = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate "
                            f"FROM credit_products" for c in CP_COLS)
-reg("prof_missing_top", W(CP, f"m AS ({_miss})") + "SELECT column, " + rnd("null_rate", "null_rate")
-    + " FROM m ORDER BY null_rate DESC, column LIMIT 25")
+reg("prof_missing_top", W(CP, f"m AS ({_miss})") + "SELECT \"column\", " + rnd("null_rate", "null_rate")
+    + " FROM m ORDER BY null_rate DESC, \"column\" LIMIT 25")
 _HIST = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-_hist_parts = " UNION ALL ".join(f"""SELECT '{c}' AS column, v, lo, hi FROM (
+_hist_parts = " UNION ALL ".join(f"""SELECT '{c}' AS "column", v, lo, hi FROM (
   SELECT CAST({c} AS DOUBLE) AS v,
     CASE WHEN MIN({c}) OVER () = MAX({c}) OVER () THEN MIN({c}) OVER () - 0.5 ELSE MIN({c}) OVER () END AS lo,
     CASE WHEN MIN({c}) OVER () = MAX({c}) OVER () THEN MAX({c}) OVER () + 0.5 ELSE MAX({c}) OVER () END AS hi
   FROM lineitem) WHERE v IS NOT NULL""" for c in _HIST)
 reg("hist_equal_width", W(f"x AS ({_hist_parts})", """b AS (
-  SELECT column, lo, hi, CAST(LEAST(FLOOR((v - lo) * CAST(50 AS DOUBLE) / (hi - lo)), 49) AS INT) AS bin FROM x)""")
-    + "SELECT column, bin, " + rnd("lo + bin * ((hi - lo) / CAST(50 AS DOUBLE))", "lower") + ", "
+  SELECT "column", lo, hi, CAST(LEAST(FLOOR((v - lo) * CAST(50 AS DOUBLE) / (hi - lo)), 49) AS INT) AS bin FROM x)""")
+    + "SELECT \"column\", bin, " + rnd("lo + bin * ((hi - lo) / CAST(50 AS DOUBLE))", "lower") + ", "
     + rnd("lo + (bin + 1) * ((hi - lo) / CAST(50 AS DOUBLE))", "upper")
-    + ", COUNT(*) AS count FROM b GROUP BY column, bin, lo, hi")
+    + ", COUNT(*) AS count FROM b GROUP BY \"column\", bin, lo, hi")
 
 
 def _corr(a: str, b: str) -> str:
@@ -240,7 +240,7 @@ def _identical_sql() -> str:
              f"nm AS (SELECT * FROM (VALUES {names}) t(i, c))",
              "mem AS (SELECT a AS i FROM eq UNION SELECT b FROM eq)",
              "lead AS (SELECT mem.i, COALESCE((SELECT MIN(a) FROM eq WHERE eq.b = mem.i), mem.i) AS f FROM mem)") + \
-        "SELECT n1.c AS column, n2.c AS group_first FROM lead JOIN nm n1 ON n1.i = lead.i JOIN nm n2 ON n2.i = lead.f"
+        "SELECT n1.c AS \"column\", n2.c AS group_first FROM lead JOIN nm n1 ON n1.i = lead.i JOIN nm n2 ON n2.i = lead.f"
 
 
 reg("identical_columns", _identical_sql())
@@ -276,7 +276,7 @@ _caps_raw = ", ".join(
     for s, dst in (("pre_loans_total_overdue", "overdue_to_limit"), ("pre_loans_max_overdue_sum", "maxover_to_limit"),
                    ("pre_loans_outstanding", "outstanding_to_limit"), ("pre_loans_next_pay_summ", "nextpay_to_limit")))
 reg("percentile_caps", W(LATEST, f"r AS (SELECT {_caps_raw} FROM latest)") + " UNION ALL ".join(
-    f"SELECT '{c}' AS column, {rnd(f'quantile_cont({c}, {d(0.01)})', 'lo')}, "
+    f"SELECT '{c}' AS \"column\", {rnd(f'quantile_cont({c}, {d(0.01)})', 'lo')}, "
     f"{rnd(f'quantile_cont({c}, {d(0.99)})', 'hi')} FROM r" for c in LIMIT_NAMES))
 
 # ---------------------------------------------------------------- 2.5

@@ -345,7 +345,8 @@ def v2_ctes(src: str, name: str = "v2", decays=(0.88, 0.95, 0.70), single_decay:
     if band_bins and band_bins > 1:
         probs = ", ".join(d(i / band_bins) for i in range(band_bins + 1))
         s3 = f"""{name}_u AS (
-  SELECT *, CAST(LEAST(GREATEST(CAST(outstanding_to_limit AS FLOAT), CAST(0 AS FLOAT)), CAST(5 AS FLOAT)) AS DOUBLE) AS _u
+  SELECT *, CAST(CASE WHEN outstanding_to_limit IS NULL THEN NULL ELSE
+    LEAST(GREATEST(CAST(outstanding_to_limit AS FLOAT), CAST(0 AS FLOAT)), CAST(5 AS FLOAT)) END AS DOUBLE) AS _u
   FROM {name}_f),
 {name}_q AS (SELECT DISTINCT UNNEST(quantile_cont(_u, [{probs}])) AS e FROM {name}_u),
 {name}_qi AS (SELECT e FROM {name}_q WHERE e > (SELECT MIN(e) FROM {name}_q) AND e < (SELECT MAX(e) FROM {name}_q)),
