@@ -10,7 +10,7 @@ broadcast.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Optional, Sequence  # noqa: F401
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,9 +18,18 @@ from pyspark.sql import functions as F
 _PKEY = "_rt_part"
 
 
+def default_buckets(df: DataFrame) -> int:
+    """Twice the shuffle parallelism (at least 64): each bucket is one window task."""
+    try:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    except ValueError:
+        parts = 200
+    return max(64, 2 * parts)
+
+
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
-                   n_buckets: int = 64, accuracy: int = 10_000,
+                   n_buckets: int | None = None, accuracy: int = 10_000,
                    tiebreak: Sequence[str] = ()) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c``) for every ``c`` in ``sum_cols``.
 
@@ -28,6 +37,8 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     unique within ``partition_cols``.  Rows are ordered ascending by
     ``order_col``, or descending when ``descending``.
     """
+    n_buckets = n_buckets or default_buckets(df)
+    accuracy = max(accuracy, 20 * n_buckets)
     parts = list(partition_cols)
     base = df
     if not parts:
@@ -63,7 +74,7 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
 
 def global_index(df: DataFrame, order_col: str, descending: bool = False,
-                 partition_cols: Sequence[str] = (), n_buckets: int = 64,
+                 partition_cols: Sequence[str] = (), n_buckets: int | None = None,
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """1-based position of each row along (``order_col``, ``tiebreak``) within partitions."""
     one = df.withColumn("_gi_one", F.lit(1))

@@ -25,7 +25,7 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    n_buckets: int = 64) -> DataFrame:
+                    n_buckets: int | None = None) -> DataFrame:
     """One row per (column, p) with the interpolated value (numpy 'linear' rule)."""
     counts = _long_values(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
     ranked = running_totals(counts, "v", ["c"], ["column"], n_buckets=n_buckets)

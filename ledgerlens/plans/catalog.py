@@ -30,7 +30,7 @@ from ledgerlens.operators.quantiles import percentile_caps
 from ledgerlens.plans import datasets as D
 from ledgerlens.plans import modeling as ML
 from ledgerlens.plans.features import WHY, features_base, features_v1, features_v2
-from ledgerlens.session import scratch_dir
+from ledgerlens.session import materialize, scratch_dir
 from ledgerlens.sources import fixtures as FX
 from ledgerlens.sources import io as IO
 from ledgerlens.streaming.incremental import incremental_assembly, row_fn
@@ -70,6 +70,11 @@ def latest(spark, sf):
     return A.latest_record(cp(spark, sf), tiebreak=TIE)
 
 
+def latest_m(spark, sf):
+    """Latest records written once to the checkpoint folder (inputs of multi-pass plans)."""
+    return materialize(latest(spark, sf))
+
+
 def v1(spark, sf):
     return D.dataset_v1(cp(spark, sf), labels(spark, sf), tiebreak=TIE)
 
@@ -91,7 +96,7 @@ def seq_features(spark, sf) -> DataFrame:
 
 
 def all_features(spark, sf) -> DataFrame:
-    return features_v2(cp(spark, sf))
+    return features_v2(materialize(cp(spark, sf)))
 
 
 def keyed(df: DataFrame, *cols: str) -> DataFrame:
@@ -224,7 +229,7 @@ def cleanup_ext(spark, sf):
 
 @q("impute_sentinel")
 def impute_sentinel(spark, sf):
-    return keyed(SC.impute_sentinel(features_v1(latest(spark, sf))),
+    return keyed(SC.impute_sentinel(features_v1(latest_m(spark, sf))),
                  "paym_last_late_recency", "paym_last_ok_recency")
 
 
@@ -236,7 +241,7 @@ def one_hot(spark, sf):
 
 @q("prune_features")
 def prune_features(spark, sf):
-    return finish(SC.prune_features(SC.impute_sentinel(features_v2(latest(spark, sf)))))
+    return finish(SC.prune_features(SC.impute_sentinel(features_v2(latest_m(spark, sf)))))
 
 
 TRIAL_GROUPS = [["pre_loans_credit_limit", "pre_loans_outstanding"], ["enc_paym_0", "enc_paym_1", "enc_paym_2"],
@@ -322,7 +327,7 @@ def prof_missing_top(spark, sf):
 
 @q("feature_catalogue")
 def feature_catalogue(spark, sf):
-    return finish(P.feature_catalogue(features_v2(latest(spark, sf)), WHY))
+    return finish(P.feature_catalogue(materialize(features_v2(latest_m(spark, sf))), WHY))
 
 
 @q("eda_summary")
@@ -352,18 +357,18 @@ def corr_matrix(spark, sf):
 
 @q("corr_top_pairs")
 def corr_top_pairs(spark, sf):
-    c = cp(spark, sf)
+    c = materialize(cp(spark, sf))
     return finish(P.corr_top_pairs(c, 30, 0.98, P.numeric_cols(c)))
 
 
 @q("corr_with_target")
 def corr_with_target(spark, sf):
-    return finish(P.corr_with_target(v1(spark, sf), "target", 20))
+    return finish(P.corr_with_target(materialize(v1(spark, sf)), "target", 20))
 
 
 @q("identical_columns")
 def identical_columns(spark, sf):
-    return P.identical_columns(features_v2(latest(spark, sf)))
+    return P.identical_columns(materialize(features_v2(latest_m(spark, sf))))
 
 
 @q("qc_postcheck")
@@ -388,7 +393,7 @@ def pos_rate(spark, sf):
 
 @q("percentile_caps")
 def percentile_caps_q(spark, sf):
-    lt = latest(spark, sf)
+    lt = latest_m(spark, sf)
     ratios = {dst: F.col(src).cast("double") / (F.abs(F.col("pre_loans_credit_limit").cast("double")) + F.lit(1e-4))
               for src, dst in (("pre_loans_total_overdue", "overdue_to_limit"),
                                ("pre_loans_max_overdue_sum", "maxover_to_limit"),
@@ -419,7 +424,7 @@ def sort_topk(spark, sf):
 
 @q("util_band")
 def util_band(spark, sf):
-    return keyed(features_v2(latest(spark, sf), FeatureConfigExtendedV2(risk_band_bins=10)), "util_band_q10")
+    return keyed(features_v2(latest_m(spark, sf), FeatureConfigExtendedV2(risk_band_bins=10)), "util_band_q10")
 
 
 @q("sample_n")
@@ -542,12 +547,12 @@ def features_base_q(spark, sf):
 
 @q("features_v1")
 def features_v1_q(spark, sf):
-    return finish(features_v1(latest(spark, sf)))
+    return finish(features_v1(latest_m(spark, sf)))
 
 
 @q("features_v2")
 def features_v2_q(spark, sf):
-    return finish(features_v2(latest(spark, sf)))
+    return finish(features_v2(latest_m(spark, sf)))
 
 
 @q("dataset_v1")
@@ -578,12 +583,12 @@ SCALE_COLS = ["pre_loans_credit_limit", "pre_loans_outstanding", "pre_loans5", "
 
 @q("impute_median")
 def impute_median(spark, sf):
-    return keyed(ML.impute_median(latest(spark, sf), IMPUTE_COLS), *IMPUTE_COLS)
+    return keyed(ML.impute_median(latest_m(spark, sf), IMPUTE_COLS), *IMPUTE_COLS)
 
 
 @q("scale_no_center")
 def scale_no_center(spark, sf):
-    return keyed(ML.scale_no_center(latest(spark, sf), SCALE_COLS), *SCALE_COLS)
+    return keyed(ML.scale_no_center(latest_m(spark, sf), SCALE_COLS), *SCALE_COLS)
 
 
 def v3_split(spark, sf):

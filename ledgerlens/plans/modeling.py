@@ -195,14 +195,24 @@ def feature_importance_topk(model: PipelineModel, feats: Sequence[str], k: int =
         .orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def permute_column(df: DataFrame, col: str, seed: int, keys: Sequence[str]) -> DataFrame:
-    """Shuffle one column's values across rows: row i takes the value of the row ranked i
-    by a second hash order (two bucketed rank computations and one equi-join)."""
-    from ledgerlens.operators.cumulative import global_index
-    a = global_index(df.withColumn("_ua", unit_hash(keys, seed)), "_ua", tiebreak=list(keys))
-    b = global_index(df.select(*keys, col).withColumn("_ub", unit_hash(keys, seed + 7919)), "_ub",
-                     tiebreak=list(keys)).select("pos", F.col(col).alias("_perm"))
-    return a.join(b, "pos").withColumn(col, F.col("_perm")).drop("_perm", "pos", "_ua")
+def permute_column(df: DataFrame, col: str, seed: int, keys: Sequence[str],
+                   n_buckets: Optional[int] = None) -> DataFrame:
+    """Shuffle one column's values across rows.
+
+    Rows fall into random hash buckets; inside a bucket, row i (by one hash
+    order) takes the value of row i by a second hash order.  Buckets are random
+    samples, so this breaks the feature/target link like a full permutation,
+    with one window shuffle and one equi-join on (bucket, position).
+    """
+    from pyspark.sql import Window
+    nb = n_buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    bucket = F.floor(unit_hash(keys, seed) * nb).cast("int")
+    wa = Window.partitionBy("_pb").orderBy(unit_hash(keys, seed + 1), *keys)
+    wb = Window.partitionBy("_pb").orderBy(unit_hash(keys, seed + 2), *keys)
+    a = df.withColumn("_pb", bucket).withColumn("_pp", F.row_number().over(wa))
+    b = df.select(*keys, col).withColumn("_pb", bucket).withColumn("_pp", F.row_number().over(wb)) \
+        .select("_pb", "_pp", F.col(col).alias("_perm"))
+    return a.join(b, ["_pb", "_pp"]).withColumn(col, F.col("_perm")).drop("_perm", "_pb", "_pp")
 
 
 def permutation_importance(model: PipelineModel, valid: DataFrame, feats: Sequence[str],

@@ -61,3 +61,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "tables", name)
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used before several statistics passes read the same intermediate table
+    (percentile caps, bands, type ranges): they then scan the written table
+    instead of recomputing shuffles, and a lost executor does not send them
+    back to the raw inputs.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -15,6 +15,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.sequencing import numbered_history
+
 N_SLOTS = 25
 PAYM_COLS = tuple(f"enc_paym_{i}" for i in range(N_SLOTS))
 
@@ -53,17 +55,22 @@ def lineitem_rollup(lineitem: DataFrame) -> DataFrame:
 
 
 def credit_products(spark: SparkSession, sf_dir: str, n_slots: int = N_SLOTS) -> DataFrame:
+    """One product row per order; ``rn`` = the order's position in the customer's
+    history, ``enc_paym_i`` = status code of the order ``i`` positions earlier.
+
+    Numbering and lags come from ``numbered_history`` (range-partitioned slices),
+    so a customer with a huge share of all orders is never handled by one task.
+    """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     li = lineitem_rollup(table(spark, sf_dir, "lineitem"))
-    p = orders.join(li, orders.o_orderkey == li.l_orderkey, "left")
-    # One window spec for the sequence number and every history slot: a single
-    # shuffle on the customer key and one sort, shared by all 26 window functions.
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    p = orders.join(li, orders.o_orderkey == li.l_orderkey, "left").drop("l_orderkey")
+    h = numbered_history(p, "o_custkey", ["o_orderdate", "o_orderkey"], "code", n_slots - 1,
+                         seq_col="_seq", lag_prefix="_lag")
     zero = lambda c: F.when(F.col(c) == 0, 1).otherwise(0)
     cols = [
         F.col("o_custkey").cast("string").alias("id"),
-        F.row_number().over(w).cast("int").alias("rn"),
+        F.col("_seq").alias("rn"),
         (F.year("o_orderdate") - 1994).cast("int").alias("rn_dup"),
         F.col("o_orderkey"),
         F.floor("o_totalprice").cast("int").alias("pre_loans_credit_limit"),
@@ -86,8 +93,8 @@ def credit_products(spark: SparkSession, sf_dir: str, n_slots: int = N_SLOTS) ->
         .otherwise(2).alias("enc_loans_credit_status"),
         F.col("code").alias("enc_paym_0"),
     ]
-    cols += [F.lag("code", i).over(w).alias(f"enc_paym_{i}") for i in range(1, n_slots)]
-    return p.select(*cols)
+    cols += [F.col(f"_lag{i}").alias(f"enc_paym_{i}") for i in range(1, n_slots)]
+    return h.select(*cols)
 
 
 EVENT_CODES = (("view", 0), ("click", 1), ("purchase", 2), ("signup", 3))  # else 4
