@@ -18,6 +18,8 @@ from typing import Optional, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.session import materialize
+
 
 def numbered_history(df: DataFrame, group: str, order: Sequence[str], value: str, n_lags: int,
                      seq_col: str = "seq", lag_prefix: str = "lag_",
@@ -29,7 +31,10 @@ def numbered_history(df: DataFrame, group: str, order: Sequence[str], value: str
     """
     if n_parts is None:
         n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = df.repartitionByRange(n_parts, group, *order).withColumn("_pid", F.spark_partition_id())
+    # The range bounds come from a sample of the input; written once, every
+    # branch below sees the same slice ids (a re-run would sample again).
+    ranged = materialize(df.repartitionByRange(n_parts, group, *order)
+                         .withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid", group).orderBy(*order)
     w_all = Window.partitionBy("_pid", group)
     local = ranged.select(

@@ -65,7 +65,7 @@ def test_numbered_history_matches_window_on_skewed_group(spark):
     rng = random.Random(5)
     rows = [(0 if rng.random() < 0.6 else rng.randint(1, 30), rng.randint(0, 400), k,
              None if rng.random() < 0.1 else rng.randint(0, 9)) for k in range(1500)]
-    df = spark.createDataFrame(rows, "g long, d int, k long, v int")
+    df = spark.createDataFrame(rows, "g long, d int, k long, v int").repartition(7).filter(F.col("k") >= 0)
     got = numbered_history(df, "g", ["d", "k"], "v", 5, n_parts=16)
     w = Window.partitionBy("g").orderBy("d", "k")
     exp = df.select("*", F.row_number().over(w).alias("seq"), *[F.lag("v", i).over(w).alias(f"lag_{i}")
