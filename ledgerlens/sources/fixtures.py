@@ -128,10 +128,10 @@ def labels_credit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("flag"))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored(spark: SparkSession, sf_dir: str, products: DataFrame | None = None) -> DataFrame:
     """Labelled product rows with a tied, deterministic score in [0, ~1]."""
-    p = credit_products(spark, sf_dir).select("id", "rn", "pre_loans_outstanding",
-                                                "pre_loans_credit_limit")
+    products = products if products is not None else credit_products(spark, sf_dir)
+    p = products.select("id", "rn", "pre_loans_outstanding", "pre_loans_credit_limit")
     lab = labels_credit(spark, sf_dir)
     score = F.floor(F.try_divide(F.coalesce(F.col("pre_loans_outstanding"), F.lit(0)) * 100,
                                  F.col("pre_loans_credit_limit"))) / 100
