@@ -41,8 +41,11 @@ def hot_group_slices(df: DataFrame, group: str, order_col: str, n_parts: int,
     """
     spark = df.sparkSession
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_c"))
-    total = counts.agg(F.sum("_c").alias("t")).first()["t"] or 0
+    st = counts.agg(F.sum("_c").alias("t"), F.max("_c").alias("m")).first()
+    total, biggest = (st["t"] or 0), (st["m"] or 0)
     share = max(1, math.ceil(total / max(1, n_parts)))
+    if biggest <= share:  # the common case: one aggregate job and done
+        return None
     hot = counts.filter(F.col("_c") > share).collect()  # at most n_parts rows
     if not hot:
         return None
@@ -63,15 +66,17 @@ def hot_group_slices(df: DataFrame, group: str, order_col: str, n_parts: int,
 
 def numbered_history(df: DataFrame, group: str, order: Sequence[str], value: str, n_lags: int,
                      seq_col: str = "seq", lag_prefix: str = "lag_",
-                     n_parts: Optional[int] = None) -> DataFrame:
+                     n_parts: Optional[int] = None, sizes_from: Optional[DataFrame] = None) -> DataFrame:
     """Add ``seq`` (1-based position in the group along ``order``) and
     ``lag_1 .. lag_n`` (``value`` of the row ``i`` positions earlier, NULL before the start).
 
-    ``order`` must make rows unique within a group.
+    ``order`` must make rows unique within a group.  ``sizes_from`` is a
+    cheaper frame with the same rows' group and order columns (e.g. the table
+    before a 1:1 left join) used to find the large groups.
     """
     if n_parts is None:
         n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    bounds = hot_group_slices(df, group, order[0], n_parts)
+    bounds = hot_group_slices(sizes_from if sizes_from is not None else df, group, order[0], n_parts)
     if bounds is None:
         sliced = df.withColumn("_slice", F.lit(0))
     else:

@@ -66,7 +66,7 @@ def credit_products(spark: SparkSession, sf_dir: str, n_slots: int = N_SLOTS) ->
     li = lineitem_rollup(table(spark, sf_dir, "lineitem"))
     p = orders.join(li, orders.o_orderkey == li.l_orderkey, "left").drop("l_orderkey")
     h = numbered_history(p, "o_custkey", ["o_orderdate", "o_orderkey"], "code", n_slots - 1,
-                         seq_col="_seq", lag_prefix="_lag")
+                         seq_col="_seq", lag_prefix="_lag", sizes_from=orders)
     zero = lambda c: F.when(F.col(c) == 0, 1).otherwise(0)
     cols = [
         F.col("o_custkey").cast("string").alias("id"),
