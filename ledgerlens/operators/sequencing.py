@@ -78,12 +78,14 @@ def numbered_history(df: DataFrame, group: str, order: Sequence[str], value: str
         n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     bounds = hot_group_slices(sizes_from if sizes_from is not None else df, group, order[0], n_parts)
     if bounds is None:
-        sliced = df.withColumn("_slice", F.lit(0))
-    else:
-        num = _numeric_order(df, order[0])
-        sliced = (df.join(F.broadcast(bounds), group, "left")
-                  .withColumn("_slice", F.coalesce(F.size(F.filter("_bounds", lambda b: b < num)), F.lit(0)))
-                  .drop("_bounds"))
+        # no group above rows / n_parts: one window per group is already bounded
+        w = Window.partitionBy(group).orderBy(*order)
+        return df.select(*df.columns, F.row_number().over(w).cast("int").alias(seq_col),
+                         *[F.lag(value, i).over(w).alias(f"{lag_prefix}{i}") for i in range(1, n_lags + 1)])
+    num = _numeric_order(df, order[0])
+    sliced = (df.join(F.broadcast(bounds), group, "left")
+              .withColumn("_slice", F.coalesce(F.size(F.filter("_bounds", lambda b: b < num)), F.lit(0)))
+              .drop("_bounds"))
     w = Window.partitionBy(group, "_slice").orderBy(*order)
     w_all = Window.partitionBy(group, "_slice")
     local = sliced.select(

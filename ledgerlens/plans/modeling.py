@@ -132,15 +132,18 @@ def _fit(df: DataFrame, estimator, feats: Sequence[str], scale: bool, weights: b
 
 
 def fit_logreg(train: DataFrame, feats: Optional[Sequence[str]] = None, C: float = 1.0,
-               l1_ratio: float = 0.5, max_iter: int = 2000, balanced: bool = True) -> PipelineModel:
+               l1_ratio: float = 0.5, max_iter: int = 2000, balanced: bool = True,
+               tol: float = 1e-4) -> PipelineModel:
     """Elastic-net logistic regression on median-imputed, std-scaled features.
 
-    ``regParam = 1 / (C * n)`` maps the summed-loss penalty onto Spark's mean-loss objective.
+    ``regParam = 1 / (C * n)`` maps the summed-loss penalty onto Spark's mean-loss
+    objective; ``tol`` is the original solver's default stopping tolerance.
+    Every optimizer iteration is one distributed pass over the training rows.
     """
     feats = list(feats or feature_columns(train))
     n = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", elasticNetParam=l1_ratio,
-                            regParam=1.0 / (C * max(n, 1)), maxIter=max_iter, standardization=False)
+                            regParam=1.0 / (C * max(n, 1)), maxIter=max_iter, standardization=False, tol=tol)
     if balanced:
         lr.setWeightCol("weight")
     return _fit(train, lr, feats, scale=True, weights=balanced)

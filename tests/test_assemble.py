@@ -73,3 +73,15 @@ def test_numbered_history_matches_window_on_skewed_group(spark):
     a = sorted(map(tuple, got.select(*exp.columns).collect()))
     b = sorted(map(tuple, exp.collect()))
     assert a == b
+
+
+def test_numbered_history_without_hot_groups(spark):
+    from pyspark.sql import Window
+    from ledgerlens.operators.sequencing import numbered_history
+    rows = [(k % 40, (k * 7) % 13, k, k % 5) for k in range(800)]
+    df = spark.createDataFrame(rows, "g long, d int, k long, v int")
+    got = numbered_history(df, "g", ["d", "k"], "v", 3, n_parts=4)
+    w = Window.partitionBy("g").orderBy("d", "k")
+    exp = df.select("*", F.row_number().over(w).alias("seq"), *[F.lag("v", i).over(w).alias(f"lag_{i}")
+                                                                 for i in range(1, 4)])
+    assert sorted(map(tuple, got.select(*exp.columns).collect())) == sorted(map(tuple, exp.collect()))
