@@ -607,11 +607,14 @@ def scale_no_center(spark, sf):
     return keyed(ML.scale_no_center(latest_m(spark, sf), SCALE_COLS), *SCALE_COLS)
 
 
+def v3(spark, sf):
+    """dataset v3, written once to the shared checkpoint folder per session."""
+    return _memo(spark, sf, "v3", lambda: materialize(D.dataset_v3(v1(spark, sf))))
+
+
 def v3_split(spark, sf):
-    """dataset v3 with a stratified 80/20 split, written once to the shared
-    checkpoint folder (every model query of the session reuses it)."""
-    return _memo(spark, sf, "v3_split",
-                 lambda: materialize(ML.split_frame(D.dataset_v3(v1(spark, sf)), 0.2, 42)))
+    """dataset v3 with a stratified 80/20 split (every model query of the session reuses it)."""
+    return _memo(spark, sf, "v3_split", lambda: materialize(ML.split_frame(v3(spark, sf), 0.2, 42)))
 
 
 def _train_valid(spark, sf):
@@ -715,14 +718,14 @@ def group_ablation(spark, sf):
 def predict_batch(spark, sf):
     tr, _ = _train_valid(spark, sf)
     m = ML.fit_logreg(tr)
-    return finish(ML.predict_batch(m, D.dataset_v3(v1(spark, sf))))
+    return finish(ML.predict_batch(m, v3(spark, sf)))
 
 
 @q("inference_job")
 def inference_job(spark, sf):
     tr, _ = _train_valid(spark, sf)
     model_path = ML.model_persist(ML.fit_logreg(tr), run_path(spark, "model"))
-    inp = IO.sink_parquet(D.dataset_v3(v1(spark, sf)), run_path(spark, "v3") + ".parquet")
+    inp = IO.sink_parquet(v3(spark, sf), run_path(spark, "v3") + ".parquet")
     out = ML.inference_job(spark, inp, run_path(spark, "pred") + ".csv", model_path)
     return finish(spark.read.schema("id string, rn int, pred_proba double").option("header", True).csv(out))
 

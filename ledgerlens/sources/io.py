@@ -18,12 +18,23 @@ PARQUET_SUFFIXES = (".parquet", ".pq")
 LABEL_SCHEMA = "id string, flag tinyint"
 
 
+def resolve_columns(available: Sequence[str], needed: Sequence[str] = (),
+                    prefixes: Sequence[str] = ()) -> list:
+    """Requested columns that exist, plus every column of the prefix families, sorted."""
+    have = set(available)
+    out = {c for c in needed if c in have}
+    out |= {c for c in available if any(c.startswith(p) for p in prefixes)}
+    return sorted(out)
+
+
 def scan_parquet(spark: SparkSession, path: str, columns: Optional[Sequence[str]] = None,
-                 merge_schema: bool = False) -> DataFrame:
-    """Parquet file or folder; ``columns`` keeps only the present requested columns."""
+                 merge_schema: bool = False, prefixes: Sequence[str] = ()) -> DataFrame:
+    """Parquet file or folder; ``columns`` (+ ``prefixes`` families) keeps only present
+    columns, so the scan's read schema is pruned to them."""
     df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
-    if columns is not None:
-        df = df.select(*[c for c in columns if c in df.columns])
+    if columns is not None or prefixes:
+        keep = set(resolve_columns(df.columns, columns or (), prefixes))
+        df = df.select(*[c for c in df.columns if c in keep])
     return df
 
 
@@ -41,15 +52,35 @@ def _glob_for(suffixes: Iterable[str]) -> str:
     return "*.{" + ",".join(sfx) + "}" if len(sfx) > 1 else f"*.{sfx[0]}"
 
 
+def list_shards(spark: SparkSession, folder: str, suffixes: Sequence[str] = PARQUET_SUFFIXES) -> list:
+    """Sorted shard paths under ``folder`` (file-system listing only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    it = fs.listFiles(path, True)
+    out = []
+    while it.hasNext():
+        p = it.next().getPath().toString()
+        if p.lower().endswith(tuple(suffixes)):
+            out.append(p)
+    return sorted(out)
+
+
 def scan_shards(spark: SparkSession, folder: str, suffixes: Sequence[str] = PARQUET_SUFFIXES,
-                merge_schema: bool = True, with_path: bool = True) -> DataFrame:
+                merge_schema: bool = True, with_path: bool = True,
+                limit_files: Optional[int] = None) -> DataFrame:
     """All shards under ``folder`` with any of ``suffixes``, schemas merged by name.
 
-    ``source_file`` is the file of each row (hidden ``_metadata`` column).
+    ``source_file`` is the file of each row (hidden ``_metadata`` column);
+    ``limit_files`` reads only the first N shards in path order.
     """
-    df = (spark.read.option("mergeSchema", str(merge_schema).lower())
-          .option("pathGlobFilter", _glob_for(suffixes)).option("recursiveFileLookup", "false")
-          .parquet(folder))
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    if limit_files is not None:
+        paths = list_shards(spark, folder, suffixes)[:limit_files]
+        df = reader.option("basePath", folder).parquet(*paths)
+    else:
+        df = (reader.option("pathGlobFilter", _glob_for(suffixes)).option("recursiveFileLookup", "false")
+              .parquet(folder))
     if with_path:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df

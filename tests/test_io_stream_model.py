@@ -73,3 +73,13 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "target" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_scan_limit_files_and_resolve(spark, sf):
+    root = C.write_shards(spark, sf)
+    files = IO.list_shards(spark, root)
+    assert len(files) >= 12 and files == sorted(files)
+    part = IO.scan_shards(spark, root, limit_files=3)
+    assert part.select("source_file").distinct().count() == 3
+    assert IO.resolve_columns(["id", "rn", "enc_paym_1", "enc_paym_0", "x"], ["rn", "zz"], ["enc_paym_"]) == \
+        ["enc_paym_0", "enc_paym_1", "rn"]
