@@ -28,6 +28,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # feature frames are ~110 columns wide; keep them in whole-stage codegen
+        .config("spark.sql.codegen.maxFields", "1000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,12 +66,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+    """Write ``df`` once as a parquet table under the shared checkpoint folder
+    and continue from the written table (lineage cut).
 
     Used before several statistics passes read the same intermediate table
-    (percentile caps, bands, type ranges): they then scan the written table
-    instead of recomputing shuffles, and a lost executor does not send them
-    back to the raw inputs.
+    (percentile caps, bands, type ranges): they scan the written table instead
+    of recomputing shuffles, read only the columns they need (columnar,
+    pruned), and a lost executor does not send them back to the raw inputs.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"mat-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
