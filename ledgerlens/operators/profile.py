@@ -274,7 +274,7 @@ def identical_columns(df: DataFrame, ignore: Iterable[str] = (), keys: Sequence[
     types = dict(df.dtypes)
     cols = [c for c in df.columns if c not in ign and not types[c].startswith(("map", "array", "struct"))]
     rowkey = [F.col(k) for k in kcols] if kcols else [F.lit(0)]
-    fp = df.agg(*[F.bit_xor(F.xxhash64(*rowkey, F.coalesce(F.col(c).cast("string"), F.lit("\u0000null"))))
+    fp = df.agg(*[F.bit_xor(F.xxhash64(*rowkey, F.col(c)))
                   .alias(f"h{i}") for i, c in enumerate(cols)]).first() if cols else None
     buckets = {}
     for i, c in enumerate(cols):
