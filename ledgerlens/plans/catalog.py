@@ -644,7 +644,7 @@ def fit_gbt(spark, sf):
 @q("random_search_cv")
 def random_search_cv(spark, sf):
     tr, _ = _train_valid(spark, sf)
-    return finish(ML.random_search_cv(tr, n_iter=3, n_folds=3, max_iter=20))
+    return finish(ML.random_search_cv(tr, n_iter=3, n_folds=2, max_iter=20))
 
 
 @q("metric_roc_auc")
