@@ -4,8 +4,8 @@ A plain ``sum(..).over(Window.orderBy(k))`` moves every row into one task.
 Here the (already aggregated, one row per key) input is cut into value
 buckets from approximate quantile edges, running sums are taken inside each
 bucket in parallel, and each bucket adds the total of the buckets before it.
-Only the per-bucket totals (``groups x n_buckets`` rows, a fixed bound) are
-broadcast.
+The bucket edges and the per-bucket totals (``groups x n_buckets`` rows, a
+fixed bound) pass through the driver; the offsets go back as a broadcast.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from typing import Optional, Sequence  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PKEY = "_rt_part"
-
 
 def default_buckets(df: DataFrame) -> int:
     """Twice the shuffle parallelism (at least 64): each bucket is one window task."""
@@ -40,36 +38,49 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     n_buckets = n_buckets or default_buckets(df)
     accuracy = max(accuracy, 20 * n_buckets)
     parts = list(partition_cols)
-    base = df
-    if not parts:
-        base = base.withColumn(_PKEY, F.lit(0))
-        parts = [_PKEY]
     key = F.col(order_col).cast("double")
     if descending:
         key = -key
-    base = base.withColumn("_rt_key", key)
+    base = df.withColumn("_rt_key", key)
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = base.groupBy(*parts).agg(
-        F.percentile_approx("_rt_key", probs, accuracy).alias("_rt_edges"))
-    # at most (#groups) rows; every group is one column name or the constant key
-    bucketed = base.join(F.broadcast(edges), parts).withColumn(
-        "_rt_b", F.size(F.filter("_rt_edges", lambda e: e < F.col("_rt_key")))).drop("_rt_edges")
+    # bucket edges: (#groups) x (n_buckets - 1) numbers, computed once on the
+    # driver side so every branch (and every recomputed task) sees the same edges
+    edge_rows = base.groupBy(*parts).agg(
+        F.percentile_approx("_rt_key", probs, accuracy).alias("_rt_edges")).collect()
+    if not parts:
+        edges = [float(e) for e in (edge_rows[0]["_rt_edges"] if edge_rows else []) or []]
+        arr = F.array(*[F.lit(e) for e in edges]) if edges else F.array().cast("array<double>")
+        bucketed = base.withColumn("_rt_b", F.size(F.filter(arr, lambda e: e < F.col("_rt_key"))))
+    else:
+        from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+        schema = StructType(list(base.select(*parts).schema.fields)
+                            + [StructField("_rt_edges", ArrayType(DoubleType()))])
+        edges_df = base.sparkSession.createDataFrame(
+            [tuple(r[p] for p in parts) + ([float(e) for e in (r["_rt_edges"] or [])],) for r in edge_rows], schema)
+        bucketed = base.join(F.broadcast(edges_df), parts).withColumn(
+            "_rt_b", F.size(F.filter("_rt_edges", lambda e: e < F.col("_rt_key")))).drop("_rt_edges")
     # running sums inside each bucket (buckets are balanced by the edges)
     w_in = (Window.partitionBy(*parts, "_rt_b").orderBy("_rt_key", *tiebreak)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = bucketed.select("*", *[F.sum(c).over(w_in).alias(f"_rt_in_{c}") for c in sum_cols])
-    # offsets: totals of all earlier buckets, from a table of groups x n_buckets rows
-    totals = bucketed.groupBy(*parts, "_rt_b").agg(*[F.sum(c).alias(f"_rt_t_{c}") for c in sum_cols])
-    w_off = (Window.partitionBy(*parts).orderBy("_rt_b")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*parts, "_rt_b", *[
-        F.coalesce(F.sum(f"_rt_t_{c}").over(w_off), F.lit(0)).alias(f"_rt_o_{c}") for c in sum_cols])
+    # offsets: totals of all earlier buckets.  The totals table has at most
+    # groups x n_buckets rows, so the prefix sums are taken on the driver.
+    tot_df = bucketed.groupBy(*parts, "_rt_b").agg(*[F.sum(c).alias(f"_rt_t_{c}") for c in sum_cols])
+    tot_rows = tot_df.collect()
+    acc: dict = {}
+    off_rows = []
+    for r in sorted(tot_rows, key=lambda r: (tuple(str(r[p]) for p in parts), r["_rt_b"])):
+        g = tuple(r[p] for p in parts)
+        run = acc.setdefault(g, [0] * len(sum_cols))
+        off_rows.append(g + (r["_rt_b"],) + tuple(run))
+        for i, c in enumerate(sum_cols):
+            run[i] += r[f"_rt_t_{c}"] or 0
+    off_schema = tot_df.select(*parts, "_rt_b", *[F.col(f"_rt_t_{c}").alias(f"_rt_o_{c}") for c in sum_cols]).schema
+    offsets = base.sparkSession.createDataFrame(off_rows, off_schema)
     out = inner.join(F.broadcast(offsets), parts + ["_rt_b"])
     out = out.select("*", *[(F.col(f"_rt_in_{c}") + F.col(f"_rt_o_{c}")).alias(f"cum_{c}")
                             for c in sum_cols])
     drop = ["_rt_key", "_rt_b"] + [f"_rt_in_{c}" for c in sum_cols] + [f"_rt_o_{c}" for c in sum_cols]
-    if not partition_cols:
-        drop.append(_PKEY)
     return out.drop(*drop)
 
 

@@ -322,10 +322,10 @@ def qc_postcheck(df: DataFrame, target: str = "target", keys: Sequence[str] = ("
         .select(F.lit("duplicates").alias("metric"), F.lit(None).cast("string").alias("key"), "value")
     out = meta.unionByName(dup)
     if target in cols:
-        # one row per target class (0, 1, NULL) next to the total row count
-        dist = _one_row(df.groupBy(target).count(), df.agg(F.count(F.lit(1)).alias("_total"))).select(
+        # one row per target class (0, 1, NULL) over the row count n
+        dist = df.groupBy(target).count().select(
             F.lit("target_dist").alias("metric"), F.coalesce(F.col(target).cast("string"), F.lit("null")).alias("key"),
-            (F.col("count") / F.col("_total")).alias("value"))
+            (F.col("count") / F.lit(float(n))).alias("value"))
         out = out.unionByName(dist)
     return out
 
@@ -345,12 +345,20 @@ def qc_labels(df: DataFrame, labels: DataFrame, key: str = "id", target: str = "
 
 
 def _one_row(*frames: DataFrame) -> DataFrame:
-    """Side-by-side combination of one-row aggregate frames (join on a constant key)."""
-    out = None
+    """Side-by-side combination of one-row aggregate frames.
+
+    Each frame is a single aggregate row (a few numbers), so the rows are
+    brought to the driver and put together there instead of joining on a
+    constant key.
+    """
+    from pyspark.sql.types import StructType
+    spark = frames[0].sparkSession
+    fields, values = [], []
     for f in frames:
-        f = f.withColumn("_one", F.lit(1))
-        out = f if out is None else out.join(f, "_one")
-    return out.drop("_one")
+        row = f.first()
+        fields += list(f.schema.fields)
+        values += list(row) if row is not None else [None] * len(f.columns)
+    return spark.createDataFrame([tuple(values)], StructType(fields))
 
 
 def qc_cardinality(df: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
