@@ -28,7 +28,7 @@ def default_buckets(df: DataFrame) -> int:
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
                    n_buckets: int | None = None, accuracy: int = 10_000,
-                   tiebreak: Sequence[str] = ()) -> DataFrame:
+                   tiebreak: Sequence[str] = (), materialize_input: bool = True) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c``) for every ``c`` in ``sum_cols``.
 
     ``order_col`` must be numeric and, together with ``tiebreak`` (ascending),
@@ -42,6 +42,10 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     if descending:
         key = -key
     base = df.withColumn("_rt_key", key)
+    if materialize_input:
+        # three passes read the input (edges, bucket totals, the sums): write it once
+        from ledgerlens.session import materialize
+        base = materialize(base)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     # bucket edges: (#groups) x (n_buckets - 1) numbers, computed once on the
     # driver side so every branch (and every recomputed task) sees the same edges
@@ -86,9 +90,9 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
 
 def global_index(df: DataFrame, order_col: str, descending: bool = False,
                  partition_cols: Sequence[str] = (), n_buckets: int | None = None,
-                 tiebreak: Sequence[str] = ()) -> DataFrame:
+                 tiebreak: Sequence[str] = (), materialize_input: bool = True) -> DataFrame:
     """1-based position of each row along (``order_col``, ``tiebreak``) within partitions."""
     one = df.withColumn("_gi_one", F.lit(1))
     out = running_totals(one, order_col, ["_gi_one"], partition_cols, descending, n_buckets,
-                         tiebreak=tiebreak)
+                         tiebreak=tiebreak, materialize_input=materialize_input)
     return out.withColumnRenamed("cum__gi_one", "pos").drop("_gi_one")
