@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from typing import Iterable, List, Optional, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType
+from pyspark.sql.types import NumericType
 
 from ledgerlens.operators.quantiles import quantile_table
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Dict, List
 
-from oracles.sql import (CP_COLS, CP_NUMERIC, LABELS_CTE, N, PAYM, base_cte, cp_ctes, d, decay_name,
+from oracles.sql import (CP_COLS, CP_NUMERIC, LABELS_CTE, N, base_cte, cp_ctes, d, decay_name,
                          events_cte, finish, is_float, latest_cte, pruned, rnd, v1_dataset_ctes,
                          v1_feature_ctes, v2_ctes)
 
