@@ -302,6 +302,18 @@ def random_search_cv(df: DataFrame, n_iter: int = 30, n_folds: int = 4, seed: in
                                        "final_rounds int").orderBy(F.desc("cv_auc"), "draw")
 
 
+def refit_best(df: DataFrame, search: DataFrame, seed: int = 42) -> PipelineModel:
+    """Final boosted model on all labelled rows with the best draw's parameters
+    and its ``final_rounds`` (mean early-stopped rounds x 1.1)."""
+    best = search.orderBy(F.desc("cv_auc"), "draw").first()
+    p = json.loads(best["params"])
+    label = label_column(df)
+    lab = df.filter(F.col(label).isNotNull())
+    feats = feature_columns(lab, exclude=("o_orderkey", "rn_dup", "fold", "_val"))
+    return fit_gbt(lab, feats, max_iter=int(best["final_rounds"]), step=p["step"], max_depth=p["max_depth"],
+                   subsample=p["subsample"], colsample=p["colsample"], seed=seed)
+
+
 # ------------------------------------------------------------------ persistence / batch job
 def model_persist(model: PipelineModel, path: str, metadata: Optional[dict] = None) -> str:
     model.write().overwrite().save(path)
