@@ -67,3 +67,70 @@ SELECT doc_id, size, source_size, target,
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.mixing import mix_sources
     return mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm import language as L
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", L.held_out("doc_id"))
+    model = L.train(docs.where(F.col("doc_id").isNotNull() & ~F.col("held_out")))
+    found = L.identify(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "langs")
+
+
+@query("op10_decontaminate")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.decontaminate import find_contamination
+    return find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def _op3_sql(dims: int = 64) -> str:
+    bits = lambda a, b: " + ".join(f"CASE WHEN embedding[{i + 1}] > 0 THEN {1 << (i - a)} ELSE 0 END"
+                                   for i in range(a, b))
+    return f"""
+WITH c AS (SELECT vec_id, CAST({bits(0, 32)} AS BIGINT) AS lo, CAST({bits(32, dims)} AS BIGINT) AS hi
+           FROM embeddings WHERE embedding IS NOT NULL),
+p AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id,
+             CAST(bit_count(xor(a.lo, b.lo)) + bit_count(xor(a.hi, b.hi)) AS BIGINT) AS distance
+      FROM c a JOIN c b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id)
+SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank,
+                      neighbour_id, distance FROM p) WHERE rank <= 10
+"""
+
+
+@query("op3_topk_hamming", _op3_sql())
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.hamming import top_k
+    rows = read(spark, sf_dir, "embeddings")
+    return top_k(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
+
+
+def _op4_sql() -> str:
+    from ledgerlens.llm.licenses import LOWER, TEMPLATES, THRESHOLD, UPPER, template_bigrams
+    bags = ", ".join(f"('{name}', '{b}', {c})" for name, t in sorted(TEMPLATES.items())
+                     for b, c in sorted(template_bigrams(t).items()))
+    return rf"""
+WITH t(license, gram, c) AS (VALUES {bags}),
+tk AS (SELECT license, sum(c) AS k FROM t GROUP BY license),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+             '[^\p{{L}}\p{{N}}
+]+', ' ', 'g') AS flat FROM documents),
+u AS (SELECT DISTINCT r, trim(x) AS unit FROM (
+        SELECT r, unnest(list_append(string_split(flat, chr(10)), regexp_replace(flat, '[ 
+]+', ' ', 'g'))) AS x FROM d)),
+w AS (SELECT row_number() OVER () AS n, r, string_split(unit, ' ') AS words FROM u WHERE unit <> '' AND contains(unit, ' ')),
+g AS (SELECT n, r, len(words) - 1 AS k, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS gram FROM w),
+c AS (SELECT n, r, k, gram, count(*) AS c FROM g GROUP BY ALL),
+i AS (SELECT n, r, c.k, license, sum(least(c.c, t.c)) AS shared FROM c JOIN t USING (gram) GROUP BY n, r, c.k, license),
+m AS (SELECT n, r, license, 2.0::DOUBLE * shared / (i.k + tk.k) AS score FROM i JOIN tk USING (license)),
+f AS (SELECT r, max(score) AS score, count(DISTINCT n) AS n_units FROM m WHERE score >= {THRESHOLD} GROUP BY r),
+b AS (SELECT m.r, min(license) AS license FROM (SELECT *, max(score) OVER (PARTITION BY n) AS top FROM m) m
+      JOIN f ON m.r = f.r AND m.score = f.score GROUP BY m.r)
+SELECT doc_id, license, score, coalesce(n_units, 0) AS n_units FROM d LEFT JOIN f USING (r) LEFT JOIN b USING (r)
+"""
+
+
+@query("op4_license_scan", _op4_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.licenses import scan_licenses
+    return scan_licenses(read(spark, sf_dir, "documents"))

@@ -169,7 +169,8 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, lev
                 page_id, url, payload, digest, first = (b.column(k)[row].as_py() for k in range(5))
                 if out is None:
                     fs.create_dir(base, recursive=True)
-                    out, squeeze = fs.open_output_stream(f"{base}/{name}"), zstandard.ZstdCompressor(level=level)
+                    out = fs.open_output_stream(f"{base}/{name}", compression=None)
+                    squeeze = zstandard.ZstdCompressor(level=level)
                 rec = make_record(page_id, url, payload, digest, first, date)
                 entries.append((page_id, len(frame), len(rec)))
                 frame += rec
