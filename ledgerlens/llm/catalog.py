@@ -134,3 +134,9 @@ SELECT doc_id, license, score, coalesce(n_units, 0) AS n_units FROM d LEFT JOIN
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.licenses import scan_licenses
     return scan_licenses(read(spark, sf_dir, "documents"))
+
+
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.ngram_join import jaccard_components
+    return jaccard_components(read(spark, sf_dir, "documents"))
