@@ -140,3 +140,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.ngram_join import jaccard_components
     return jaccard_components(read(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.suffix_dedup import repeat_report
+    return repeat_report(read(spark, sf_dir, "documents"))
