@@ -146,3 +146,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.suffix_dedup import repeat_report
     return repeat_report(read(spark, sf_dir, "documents"))
+
+
+@query("op5_compact_windows")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.compact_windows import near_passages
+    return near_passages(read(spark, sf_dir, "documents"))
