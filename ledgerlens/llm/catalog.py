@@ -152,3 +152,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerlens.llm.compact_windows import near_passages
     return near_passages(read(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+    return run(spark, sf_dir)

@@ -132,40 +132,61 @@ class ItemIndex:
             best[item] = (score, start, width)
 
 
+def _best(x: ItemIndex, col: pa.Array, threshold: float):
+    """(row, item, similarity, first shingle, shingles) of everything found in a column of texts."""
+    if not x.ids:
+        return
+    for i0, _, buf, off in chunks(col):
+        h, o, _ = shingles(buf, off)
+        place = x.hits(h)
+        for d in np.unique(np.searchsorted(o, np.flatnonzero(place >= 0), side="right") - 1).tolist():
+            for found in x.match(h[o[d]:o[d + 1]], place[o[d]:o[d + 1]], threshold):
+                yield (i0 + d, *found)
+
+
+def _indexes(items: DataFrame, item_id: str, item_text: str, radius: int, block_bytes: int):
+    """A broadcast index for every block of items, one at a time."""
+    items = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
+    n = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]     # one number
+    blocks = max(1, -(-n // block_bytes))
+    for block in range(blocks):
+        mine = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()   # about block_bytes
+        yield items.sparkSession.sparkContext.broadcast(ItemIndex([r.i for r in mine], [r.t for r in mine], radius))
+
+
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD,
                        radius: int = RADIUS, block_bytes: int = 4 << 20) -> DataFrame:
     """Pairs (doc_id, item_id, similarity, first_word, n_words) of documents holding a passage like an item."""
-    spark = docs.sparkSession
-    items = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kinds = [src.schema["id"].dataType.simpleString(), items.schema["i"].dataType.simpleString()]
-    n = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]     # one number
-    blocks = max(1, -(-n // block_bytes))
-
-    def one(block: int) -> DataFrame:
-        mine = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == block).collect()   # about block_bytes
-        index = spark.sparkContext.broadcast(ItemIndex([r.i for r in mine], [r.t for r in mine], radius))
+    schema = SCHEMA.format(src.schema["id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
 
+    def one(index) -> DataFrame:
         def run(batches):
-            x = index.value
-            if not x.ids:
-                return
             for batch in batches:
-                rows = []
-                for i0, _, buf, off in chunks(batch.column(1)):
-                    h, o, _ = shingles(buf, off)
-                    place = x.hits(h)
-                    for d in np.unique(np.searchsorted(o, np.flatnonzero(place >= 0), side="right") - 1).tolist():
-                        words = None
-                        for item, score, start, width in x.match(h[o[d]:o[d + 1]], place[o[d]:o[d + 1]], threshold):
-                            words = width + SHINGLE - 1
-                            rows.append((batch.column(0)[i0 + d].as_py(), x.ids[item], score, start, words))
+                rows = [(batch.column(0)[i].as_py(), index.value.ids[item], score, start, width + SHINGLE - 1)
+                        for i, item, score, start, width in _best(index.value, batch.column(1), threshold)]
                 if rows:
                     names = ["doc_id", "item_id", "similarity", "first_word", "n_words"]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
 
-        return src.mapInArrow(run, SCHEMA.format(*kinds))
+        return src.mapInArrow(run, schema)
 
-    out = reduce(DataFrame.unionByName, [one(b) for b in range(blocks)])
+    out = reduce(DataFrame.unionByName, map(one, _indexes(items, item_id, item_text, radius, block_bytes)))
     return out.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else out
+
+
+def remove_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
+                        item_text: str = "text", threshold: float = THRESHOLD, radius: int = RADIUS,
+                        block_bytes: int = 4 << 20) -> DataFrame:
+    """The rows of ``docs`` that hold no passage like an item, all columns as they are; no shuffle."""
+    at = docs.columns.index(text_col)
+    for index in _indexes(items, item_id, item_text, radius, block_bytes):
+        def run(batches, index=index):
+            for batch in batches:
+                clean = np.ones(batch.num_rows, dtype=bool)
+                clean[[i for i, *_ in _best(index.value, batch.column(at), threshold)]] = False
+                yield batch.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -139,10 +139,14 @@ def mixture(model: Model, text: str, rounds: int = 30, penalty: float = 8.0) ->
     return chosen, pi
 
 
-def identify(df: DataFrame, model: Model, text_col: str = "text", **how) -> DataFrame:
-    """``df`` with lang_pred, score, langs and shares (the selected languages and their proportions)."""
+def identify(df: DataFrame, model: Model, text_col: str = "text", prefix: str = "", **how) -> DataFrame:
+    """``df`` with lang_pred, score, langs and shares (the selected languages and their proportions).
+
+    The new columns' names start with ``prefix``; columns of ``df`` with the same names go.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    names = [n for n in df.columns if n not in ("lang_pred", "score", "langs", "shares")]
+    new = [prefix + x for x in ("lang_pred", "score", "langs", "shares")]
+    names = [n for n in df.columns if n not in new]
     src = df.select(*names)
     extra = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()),
                        ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64()))])
@@ -162,9 +166,10 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", **how) -> Data
                              "langs": [m.languages[i] for i in chosen], "shares": share})
             if rows:
                 more = pa.RecordBatch.from_pylist(rows, schema=extra)
-                yield pa.RecordBatch.from_arrays([*b.columns, *more.columns], names=[*names, *extra.names])
+                yield pa.RecordBatch.from_arrays([*b.columns, *more.columns], names=[*names, *new])
 
     from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
-    out = StructType(list(src.schema.fields)).add("lang_pred", StringType()).add("score", DoubleType()) \
-        .add("langs", ArrayType(StringType())).add("shares", ArrayType(DoubleType()))
+    out = StructType(list(src.schema.fields))
+    for name, kind in zip(new, (StringType(), DoubleType(), ArrayType(StringType()), ArrayType(DoubleType()))):
+        out = out.add(name, kind)
     return src.mapInArrow(run, out)

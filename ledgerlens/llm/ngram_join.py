@@ -305,3 +305,16 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     out = sig.join(low, "cls", "left")
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with one document of every group: the one with the group's smallest id.
+
+    Of rows that share that id one stays (by a hash of the text); rows without id stay.
+    """
+    keep = (jaccard_components(df, id_col, text_col).where(F.col("component_id") == F.col(id_col))
+            .select(F.col(id_col).alias("_keep")).distinct())
+    first = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
+    named = df.where(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("_keep"), "left_semi")
+    one = named.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    return one.select(*df.columns).unionByName(df.where(F.col(id_col).isNull()))

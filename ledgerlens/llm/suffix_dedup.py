@@ -280,6 +280,24 @@ def with_tid(df: DataFrame) -> DataFrame:
     return df.mapInArrow(_with_tid, schema)
 
 
+def _contents(batches):
+    """(text) -> (tid, text), each content once per task as far as 200,000 are remembered."""
+    done: set[int] = set()
+    for b in batches:
+        keep, tids = [], []
+        for i0, _, buf, off in chunks(b.column(0)):
+            for i, x in enumerate(signed(text_prints(buf, off, PrefixHash(buf))).tolist()):
+                if x not in done:
+                    done.add(x)
+                    keep.append(i0 + i)
+                    tids.append(x)
+            if len(done) > 200_000:
+                done.clear()
+        if keep:
+            yield pa.RecordBatch.from_arrays([pa.array(tids, pa.int64()), b.column(0).take(pa.array(keep))],
+                                             names=["tid", "text"])
+
+
 def _contexts(batches):
     """(text, [(gram, rec, pos)]) -> (gram, rec, before reversed, after)"""
     for b in batches:
@@ -372,7 +390,7 @@ def repeated_spans(src: DataFrame, copies: DataFrame, group_rows: int = 20_000):
     # contents whose bytes are needed: those that contexts are read from, and those that keep a part
     alone = known.select("tid").distinct().join(copies, "tid", "left_anti")
     need = alone.union(marks.select("tid")).distinct()
-    texts = save(with_tid(src).select("tid", "text").join(need, "tid").dropDuplicates(["tid"])
+    texts = save(src.mapInArrow(_contents, "tid long, text string").join(need, "tid").dropDuplicates(["tid"])
                  .select("tid", F.col("text").cast("binary").alias("text")), "texts")
     contexts = (texts.join(marks, "tid").select("text", "marks")
                 .mapInArrow(_contexts, "gram long, rec long, before binary, after binary"))
@@ -429,20 +447,22 @@ def repeat_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", group_rows: int = 20_000) -> DataFrame:
-    """``df`` with its texts cut; characters of which only some bytes are left go with them."""
-    names = df.columns
-    first = df.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), *names)
-    _, copies, part, _ = _judged(df.withColumn("_id", F.lit(None).cast("long")), "_id", text_col, group_rows)
+    """``df`` with its texts cut; a character of which only some bytes are left goes with them."""
+    _, copies, part, temp = _judged(df.withColumn("_id", F.lit(None).cast("long")), "_id", text_col, group_rows)
 
     def decode(batches):
         for b in batches:
-            text = [bytes(x).decode("utf-8", "ignore") for x in b.column(1).to_pylist()]
+            text = [x.as_buffer().to_pybytes().decode("utf-8", "ignore") for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.string())], names=["tid", "_kept"])
 
-    kept = save(part.select("tid", "kept").mapInArrow(decode, "tid long, _kept string"), "kept")
-    marked = with_tid(first).drop("_text").join(copies.withColumn("_copy", F.lit(True)), "tid", "left")
-    text = (F.when(F.col("_copy") & (F.col("_n") >= WIDTH), F.lit("")).otherwise(F.coalesce("_kept", text_col)))
-    out = marked.withColumnRenamed("n_bytes", "_n").join(kept, "tid", "left") if "n_bytes" not in names else None
-    if out is None:
-        raise ValueError("a column n_bytes is in the way; rename it")
-    return out.select(*[text.alias(c) if c == text_col else F.col(c) for c in names])
+    kept = part.select("tid", "kept").mapInArrow(decode, "tid long, _kept string")
+    verdict = save(kept.withColumn("_copy", F.lit(False)).unionByName(
+        copies.select("tid", F.lit(None).cast("string").alias("_kept"), F.lit(True).alias("_copy"))), "verdict")
+    drop_saved(*temp)
+    # plain names, so that no column of df is in the way
+    plain = {c: f"_c{i}" for i, c in enumerate(df.columns) if c != text_col}
+    marked = with_tid(df.select(F.col(text_col).alias("_text"), *[F.col(c).alias(x) for c, x in plain.items()]))
+    text = (F.when(F.col("_copy") & (F.col("n_bytes") >= WIDTH), F.lit(""))
+            .otherwise(F.coalesce("_kept", "_text")))
+    return marked.join(verdict, "tid", "left").select(
+        *[(text if c == text_col else F.col(plain[c])).alias(c) for c in df.columns])
