@@ -71,7 +71,8 @@ def template_bigrams(text: str) -> Counter:
 
 def _templates(templates: dict[str, str], threshold: float):
     """The templates as one literal array column; its size is that of ``templates``."""
-    lo, hi = threshold / (2 - threshold), (2 - threshold) / threshold
+    # a hair wider, so that rounding prunes nothing on the bound
+    lo, hi = threshold / (2 - threshold) * (1 - 1e-9), (2 - threshold) / threshold * (1 + 1e-9)
     rows = []
     for name, text in sorted(templates.items()):
         bag = template_bigrams(text)
@@ -105,7 +106,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("id", F.expr(f"""
             filter(transform(units, u -> array_max(transform(
                 filter(known, t -> size(u) >= t.low and size(u) <= t.high
-                       and 2 * t.most * size(array_intersect(u, t.grams)) >= {threshold!r}D * (size(u) + t.k)),
+                       and 2 * t.most * size(array_intersect(u, t.grams)) >= {threshold * (1 - 1e-9)!r}D * (size(u) + t.k)),
                 t -> struct(2D * aggregate(t.bag, 0, (n, g) -> n + least(g.c, size(filter(u, x -> x = g.b))))
                             / (size(u) + t.k) as score, t.name as name)))),
             m -> m.score >= {threshold!r}D)""").alias("found"))
