@@ -1,11 +1,13 @@
 """Running totals along an ordered key without a single-partition window.
 
 A plain ``sum(..).over(Window.orderBy(k))`` moves every row into one task.
-Here the (already aggregated, one row per key) input is cut into value
-buckets from approximate quantile edges, running sums are taken inside each
-bucket in parallel, and each bucket adds the total of the buckets before it.
-The bucket edges and the per-bucket totals (``groups x n_buckets`` rows, a
-fixed bound) pass through the driver; the offsets go back as a broadcast.
+Here rows are dealt out by range over (partition columns, key, tiebreak) and
+written once with their partition number.  Sums run inside (partition number,
+partition columns) in parallel and are lifted by the sums of the same group's
+earlier range partitions: one row per (range partition, group), summed by Spark.
+A value or a group that holds most rows spans as many range partitions as its
+share, because the tiebreak belongs to the range key; results do not depend on
+the number of partitions.
 """
 
 from __future__ import annotations
@@ -16,83 +18,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def default_buckets(df: DataFrame) -> int:
-    """Twice the shuffle parallelism (at least 64): each bucket is one window task."""
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    except ValueError:
-        parts = 200
-    return max(64, 2 * parts)
+def range_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ranged(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (), descending: bool = False,
+           tiebreak: Sequence[str] = (), n_parts: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and written, with ``_rt_key`` (ascending) and ``_rt_p``."""
+    from ledgerlens.session import materialize
+    key = F.col(order_col).cast("double")
+    keyed = df.withColumn("_rt_key", -key if descending else key)
+    dealt = keyed.repartitionByRange(n_parts or range_parts(df), *partition_cols, "_rt_key", *tiebreak)
+    return materialize(dealt.withColumn("_rt_p", F.spark_partition_id()))
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
-                   n_buckets: int | None = None, accuracy: int = 10_000,
-                   tiebreak: Sequence[str] = (), materialize_input: bool = True) -> DataFrame:
+                   tiebreak: Sequence[str] = (), n_parts: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum of ``c``) for every ``c`` in ``sum_cols``.
 
     ``order_col`` must be numeric and, together with ``tiebreak`` (ascending),
-    unique within ``partition_cols``.  Rows are ordered ascending by
-    ``order_col``, or descending when ``descending``.
+    unique within ``partition_cols`` (NULL groups count as groups).  Rows are
+    ordered ascending by ``order_col``, or descending when ``descending``.
     """
-    n_buckets = n_buckets or default_buckets(df)
-    accuracy = max(accuracy, 20 * n_buckets)
     parts = list(partition_cols)
-    key = F.col(order_col).cast("double")
-    if descending:
-        key = -key
-    base = df.withColumn("_rt_key", key)
-    if materialize_input:
-        # three passes read the input (edges, bucket totals, the sums): write it once
-        from ledgerlens.session import materialize
-        base = materialize(base)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    # bucket edges: (#groups) x (n_buckets - 1) numbers, computed once on the
-    # driver side so every branch (and every recomputed task) sees the same edges
-    edge_rows = base.groupBy(*parts).agg(
-        F.percentile_approx("_rt_key", probs, accuracy).alias("_rt_edges")).collect()
-    if not parts:
-        edges = [float(e) for e in (edge_rows[0]["_rt_edges"] if edge_rows else []) or []]
-        arr = F.array(*[F.lit(e) for e in edges]) if edges else F.array().cast("array<double>")
-        bucketed = base.withColumn("_rt_b", F.size(F.filter(arr, lambda e: e < F.col("_rt_key"))))
-    else:
-        from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
-        schema = StructType(list(base.select(*parts).schema.fields)
-                            + [StructField("_rt_edges", ArrayType(DoubleType()))])
-        edges_df = base.sparkSession.createDataFrame(
-            [tuple(r[p] for p in parts) + ([float(e) for e in (r["_rt_edges"] or [])],) for r in edge_rows], schema)
-        bucketed = base.join(F.broadcast(edges_df), parts).withColumn(
-            "_rt_b", F.size(F.filter("_rt_edges", lambda e: e < F.col("_rt_key")))).drop("_rt_edges")
-    # running sums inside each bucket (buckets are balanced by the edges)
-    w_in = (Window.partitionBy(*parts, "_rt_b").orderBy("_rt_key", *tiebreak)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = bucketed.select("*", *[F.sum(c).over(w_in).alias(f"_rt_in_{c}") for c in sum_cols])
-    # offsets: totals of all earlier buckets.  The totals table has at most
-    # groups x n_buckets rows, so the prefix sums are taken on the driver.
-    tot_df = bucketed.groupBy(*parts, "_rt_b").agg(*[F.sum(c).alias(f"_rt_t_{c}") for c in sum_cols])
-    tot_rows = tot_df.collect()
-    acc: dict = {}
-    off_rows = []
-    for r in sorted(tot_rows, key=lambda r: (tuple(str(r[p]) for p in parts), r["_rt_b"])):
-        g = tuple(r[p] for p in parts)
-        run = acc.setdefault(g, [0] * len(sum_cols))
-        off_rows.append(g + (r["_rt_b"],) + tuple(run))
-        for i, c in enumerate(sum_cols):
-            run[i] += r[f"_rt_t_{c}"] or 0
-    off_schema = tot_df.select(*parts, "_rt_b", *[F.col(f"_rt_t_{c}").alias(f"_rt_o_{c}") for c in sum_cols]).schema
-    offsets = base.sparkSession.createDataFrame(off_rows, off_schema)
-    out = inner.join(F.broadcast(offsets), parts + ["_rt_b"])
-    out = out.select("*", *[(F.col(f"_rt_in_{c}") + F.col(f"_rt_o_{c}")).alias(f"cum_{c}")
+    base = ranged(df, order_col, parts, descending, tiebreak, n_parts)
+    inside = (Window.partitionBy("_rt_p", *parts).orderBy("_rt_key", *tiebreak)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = base.withColumns({f"_rt_in_{c}": F.sum(c).over(inside) for c in sum_cols})
+    earlier = Window.partitionBy(*parts).orderBy("_rt_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = base.groupBy("_rt_p", *parts).agg(*[F.sum(c).alias(f"_rt_t_{c}") for c in sum_cols])
+    offsets = sums.select(F.col("_rt_p").alias("_rt_op"), *[F.col(p).alias(f"_rt_g{i}") for i, p in enumerate(parts)],
+                          *[F.coalesce(F.sum(f"_rt_t_{c}").over(earlier), F.lit(0)).alias(f"_rt_o_{c}")
                             for c in sum_cols])
-    drop = ["_rt_key", "_rt_b"] + [f"_rt_in_{c}" for c in sum_cols] + [f"_rt_o_{c}" for c in sum_cols]
-    return out.drop(*drop)
+    on = F.col("_rt_p") == F.col("_rt_op")
+    for i, p in enumerate(parts):
+        on &= F.col(p).eqNullSafe(F.col(f"_rt_g{i}"))
+    out = inner.join(offsets, on)
+    return out.select(*df.columns, *[(F.col(f"_rt_in_{c}") + F.col(f"_rt_o_{c}")).alias(f"cum_{c}") for c in sum_cols])
 
 
 def global_index(df: DataFrame, order_col: str, descending: bool = False,
-                 partition_cols: Sequence[str] = (), n_buckets: int | None = None,
-                 tiebreak: Sequence[str] = (), materialize_input: bool = True) -> DataFrame:
+                 partition_cols: Sequence[str] = (), tiebreak: Sequence[str] = (),
+                 n_parts: int | None = None) -> DataFrame:
     """1-based position of each row along (``order_col``, ``tiebreak``) within partitions."""
     one = df.withColumn("_gi_one", F.lit(1))
-    out = running_totals(one, order_col, ["_gi_one"], partition_cols, descending, n_buckets,
-                         tiebreak=tiebreak, materialize_input=materialize_input)
+    out = running_totals(one, order_col, ["_gi_one"], partition_cols, descending, tiebreak, n_parts)
     return out.withColumnRenamed("cum__gi_one", "pos").drop("_gi_one")

@@ -25,26 +25,26 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    n_buckets: int | None = None) -> DataFrame:
+                    n_parts: int | None = None) -> DataFrame:
     """One row per (column, p) with the interpolated value (numpy 'linear' rule)."""
+    from ledgerlens.session import materialize
     counts = _long_values(df, cols).groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
-    ranked = running_totals(counts, "v", ["c"], ["column"], n_buckets=n_buckets)
-    ranked = ranked.select("column", "v", (F.col("cum_c") - F.col("c")).alias("lo_r"),
-                           F.col("cum_c").alias("hi_r"))
-    n = counts.groupBy("column").agg(F.sum("c").alias("n"))
-    p_tab = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
-    targets = n.select("column", "n", p_tab).withColumn("h", F.col("p") * (F.col("n") - 1))
-    targets = targets.select("column", "p", "h", F.floor("h").alias("r_lo"), F.ceil("h").alias("r_hi"))
-    # pick the value whose rank span [lo_r, hi_r) holds r; targets has #cols x #probs rows
-    t = F.broadcast(targets.withColumnRenamed("column", "t_col"))
-    lo = ranked.join(t, (F.col("column") == F.col("t_col")) & (F.col("lo_r") <= F.col("r_lo"))
-                     & (F.col("r_lo") < F.col("hi_r"))).select("column", "p", "h", "r_lo", F.col("v").alias("a"))
-    t2 = F.broadcast(targets.select(F.col("column").alias("t_col"), F.col("p").alias("t_p"), "r_hi"))
-    hi = ranked.join(t2, (F.col("column") == F.col("t_col")) & (F.col("lo_r") <= F.col("r_hi"))
-                     & (F.col("r_hi") < F.col("hi_r"))).select(F.col("t_col").alias("column"),
-                                                               F.col("t_p").alias("p"), F.col("v").alias("b"))
-    both = lo.join(hi, ["column", "p"])
-    frac = F.col("h") - F.col("r_lo")
+    # ranks are read twice (sizes, picks): written once
+    ranked = materialize(running_totals(counts, "v", ["c"], ["column"], n_parts=n_parts)
+                         .select("column", "v", (F.col("cum_c") - F.col("c")).alias("lo_r"), F.col("cum_c").alias("hi_r")))
+    n = ranked.groupBy("column").agg(F.max("hi_r").alias("n"))
+    h = F.col("p") * (F.col("n") - 1)
+    picks = (n.select("column", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+             .withColumn("h", h)
+             .select(F.col("column").alias("t_col"), "p", "h", F.posexplode(F.array(F.floor("h"), F.ceil("h")))
+                     .alias("side", "r")))
+    # the value whose rank span [lo_r, hi_r) holds r; picks has 2 x #cols x #probs rows
+    hit = ranked.join(F.broadcast(picks), (F.col("column") == F.col("t_col")) & (F.col("lo_r") <= F.col("r"))
+                      & (F.col("r") < F.col("hi_r")))
+    both = hit.groupBy("column", "p").agg(
+        F.max("h").alias("h"), F.max(F.when(F.col("side") == 0, F.col("v"))).alias("a"),
+        F.max(F.when(F.col("side") == 1, F.col("v"))).alias("b"))
+    frac = F.col("h") - F.floor("h")
     diff = F.col("b") - F.col("a")
     value = F.when(frac >= 0.5, F.col("b") - diff * (F.lit(1.0) - frac)).otherwise(F.col("a") + diff * frac)
     return both.select("column", "p", value.alias("value"))
@@ -62,38 +62,10 @@ def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     .alias("p"), "value"))
 
 
-# ``percentile`` keeps one (value, count) entry per distinct value in a single
-# task; below this many distinct values per column that buffer is small.
-INMEM_DISTINCT_LIMIT = 1_000_000
-
-
-def inmem_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    aggs = [F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")),
-                         F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c in cols]
-    row = df.agg(*aggs)
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("vals")) for c in cols])
-    return (row.select(F.explode(arr).alias("x"))
-            .select("x.column", F.posexplode("x.vals").alias("i", "value"))
-            .select("column", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1)
-                    .alias("p"), "value"))
-
-
-def distinct_estimate(df: DataFrame, cols: Sequence[str]) -> int:
-    """Largest approximate distinct count among ``cols`` (one small aggregate job)."""
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    return max(int(row[c] or 0) for c in cols) if row is not None else 0
-
-
 def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   exact: bool = True, accuracy: int = 100_000,
-                   inmem_limit: int = INMEM_DISTINCT_LIMIT) -> DataFrame:
-    """Exact quantiles: in one aggregate when the checked distinct count is small,
-    else the distributed rank join; ``exact=False`` gives ``percentile_approx``."""
-    if not exact:
-        return approx_quantiles(df, cols, probs, accuracy)
-    if distinct_estimate(df, cols) <= inmem_limit:
-        return inmem_quantiles(df, cols, probs)
-    return exact_quantiles(df, cols, probs)
+                   exact: bool = True, accuracy: int = 100_000) -> DataFrame:
+    """Exact quantiles by the distributed rank join, one way for every size; ``exact=False``: ``percentile_approx``."""
+    return exact_quantiles(df, cols, probs) if exact else approx_quantiles(df, cols, probs, accuracy)
 
 
 def percentile_caps(df: DataFrame, cols: Sequence[str],
