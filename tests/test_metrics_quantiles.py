@@ -5,10 +5,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import metrics as M
 from ledgerlens.operators.cumulative import global_index, running_totals
-from ledgerlens.operators.quantiles import exact_quantiles, inmem_quantiles, quantile_table
+from ledgerlens.operators.quantiles import exact_quantiles, quantile_table
 
 
 def scored_rows(n=400, seed=3):
@@ -91,13 +92,13 @@ def test_running_totals_match_pandas(spark):
     rng = random.Random(1)
     rows = [(g, float(i) + rng.random(), rng.randint(0, 9)) for g in ("a", "b") for i in range(300)]
     df = spark.createDataFrame(rows, "g string, k double, v int")
-    got = {(r["g"], r["k"]): r["cum_v"] for r in running_totals(df, "k", ["v"], ["g"], n_buckets=7).collect()}
+    got = {(r["g"], r["k"]): r["cum_v"] for r in running_totals(df, "k", ["v"], ["g"], n_parts=7).collect()}
     for g in ("a", "b"):
         acc = 0
         for _, k, v in sorted(x for x in rows if x[0] == g):
             acc += v
             assert got[(g, k)] == acc
-    idx = global_index(df, "k", descending=True, partition_cols=["g"], n_buckets=5).collect()
+    idx = global_index(df, "k", descending=True, partition_cols=["g"], n_parts=5).collect()
     assert sorted(r["pos"] for r in idx if r["g"] == "a") == list(range(1, 301))
 
 
@@ -107,11 +108,50 @@ def test_exact_quantiles_match_numpy(spark):
     y = rng.integers(0, 5, size=1001).tolist()
     df = spark.createDataFrame(list(zip(x, y)), "x double, y long")
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
-    for fn in (exact_quantiles, inmem_quantiles):
-        got = {(r["column"], r["p"]): r["value"] for r in fn(df, ["x", "y"], probs).collect()}
+    answers = []
+    for parts in (1, 8, 23):              # values do not depend on the number of partitions, to the last bit
+        got = {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df, ["x", "y"], probs, parts).collect()}
+        answers.append(got)
         xs = np.array([v for v in x if v is not None and v == v])
         for p in probs:
             assert got[("x", p)] == pytest.approx(np.percentile(xs, p * 100), abs=1e-9)
             assert got[("y", p)] == pytest.approx(np.percentile(np.array(y), p * 100), abs=1e-9)
-    assert quantile_table(df, ["x"], [0.5], inmem_limit=0).first()["value"] == pytest.approx(
+    assert answers[0] == answers[1] == answers[2]
+    assert quantile_table(df, ["x"], [0.5]).first()["value"] == pytest.approx(
         np.median([v for v in x if v is not None and v == v]))
+
+
+def test_one_class_ties_and_long_counts(spark):
+    for y in (0, 1):
+        df = spark.createDataFrame([(y, 0.1 * i) for i in range(5)], "target int, pred_proba double")
+        assert M.roc_auc(df).first()["roc_auc"] is None
+        assert M.average_precision(df).first()["auc_pr"] == pytest.approx(float(y))
+        assert M.evaluate_binary(df).first()["roc_auc"] is None
+        assert M.roc_curve(df).count() >= 2 and M.pr_curve(df).count() == 6
+        assert M.best_f1(df).first()["best_f1"] is not None
+    tied = spark.createDataFrame([(i % 2, 0.5) for i in range(10)], "target int, pred_proba double")
+    assert M.roc_auc(tied).first()["roc_auc"] == pytest.approx(0.5)
+    by = {r["g"]: r["roc_auc"] for r in M.roc_auc_by(
+        spark.createDataFrame([("a", 0, 0.1), ("a", 1, 0.9), ("b", 1, 0.1), ("b", 0, 0.9), ("c", 1, 0.3)],
+                              "g string, target int, pred_proba double"), ["g"]).collect()}
+    assert by == {"a": 1.0, "b": 0.0, "c": None}
+    # products of counts beyond 64 bits are taken as doubles
+    big = spark.createDataFrame([(4 * 10 ** 9, 4 * 10 ** 9, 0, 0, 4 * 10 ** 9, 4 * 10 ** 9, 1.0)],
+                                "pos long, neg long, tps long, fps long, P long, N long, thr double")
+    assert big.agg(M._auc().alias("a")).first()["a"] == pytest.approx(1.5)
+
+
+def test_split_keeps_unlabelled_rows_and_weights_skip_them(spark):
+    from ledgerlens.operators import sampling as SM
+    rows = [(i, 1, None if i % 7 == 0 else i % 3 == 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, rn int, b boolean").withColumn("target", F.col("b").cast("int")).drop("b")
+    out = SM.stratified_split(df, 0.2).collect()
+    assert len(out) == 300
+    for c in (0, 1):
+        n = sum(r["target"] == c for r in out)
+        assert sum(bool(r["is_valid"]) for r in out if r["target"] == c) == -(-n // 5)
+    assert all(r["is_valid"] is None for r in out if r["target"] is None)
+    w = SM.balanced_weights(df).collect()
+    assert len(w) == 300 and all(r["weight"] is None for r in w if r["target"] is None)
+    assert sum(r["weight"] for r in w if r["weight"]) == pytest.approx(sum(r["target"] is not None for r in w))
+    assert SM.sample_n(df, 17, keys=["id"]).count() == 17 and SM.sample_n(df, 1000, keys=["id"]).count() == 300
