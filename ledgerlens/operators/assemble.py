@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import Iterable, Optional, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.config import TIE_BREAK_COLS
@@ -21,21 +21,39 @@ def _order_key(df: DataFrame, order: Sequence[str], secondary: Iterable[str],
     return F.struct(*fields)
 
 
+def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Join on equal ``cols``, NULL matching NULL, keeping the left columns."""
+    names = {c: f"_m{i}" for i, c in enumerate(cols)}
+    r = right.select(*[F.col(c).alias(x) for c, x in names.items()])
+    on = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(x)) for c, x in names.items()])
+    return left.join(r, on, how)
+
+
 def keep_max(df: DataFrame, group: Sequence[str], order: Sequence[str],
              secondary: Iterable[str] = TIE_BREAK_COLS, tiebreak: Sequence[str] = ()) -> DataFrame:
     """One row per ``group``: the row with the largest (order, secondary, tiebreak, row).
 
-    ``max(struct(key, row))`` is an ordinary aggregate with a map-side partial
-    step, so a group holding a third of all rows is first reduced to one row
-    per input partition before the shuffle (no window holds the whole group).
-    The full row closes remaining ties, which keeps the choice deterministic.
+    The largest ``order`` value per group and the number of rows per group are
+    hash aggregates over the keys alone; whole rows are matched to them by joins
+    on (group, order), which a hot group does not skew.  Only rows that
+    tie on ``order`` are compared as whole rows: ``max(struct(key, row))`` with
+    its map-side partial step closes ties deterministically.
     """
+    from ledgerlens.session import materialize
+    left = df
+    if order:
+        top = df.groupBy(*group).agg(*[F.max(c).alias(c) for c in order[:1]])
+        left = _match(df, top, [*group, *order[:1]], "left_semi")
+    left = materialize(left)
+    several = left.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    alone = _match(left, several, group, "left_anti")
+    tied = _match(left, several, group, "left_semi")
     payload = [c for c in df.columns if c not in group]
     key = _order_key(df, order, secondary, tiebreak)
-    best = df.groupBy(*group).agg(
+    best = tied.groupBy(*group).agg(
         F.max(F.struct(key.alias("k"), F.struct(*payload).alias("r"))).alias("_best"))
-    return best.select(*[F.col(g) for g in group],
-                       *[F.col(f"_best.r.{c}").alias(c) for c in payload]).select(*df.columns)
+    closed = best.select(*[F.col(g) for g in group], *[F.col(f"_best.r.{c}").alias(c) for c in payload])
+    return alone.unionByName(closed.select(*df.columns))
 
 
 def latest_record(df: DataFrame, key: str = "id", order: str = "rn",
@@ -118,6 +136,10 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("id", "rn"),
             + [("column_common", c) for c in common])
     meta_df = spark.createDataFrame(meta, "section string, name string").withColumn(
         "value", F.lit(None).cast("bigint"))
+    # repeated keys are told apart by their place among equals, so rows do not fan out
+    nth = lambda cols: F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*cols)))
+    a, b = a.withColumn("_nth", nth(common or keys)), b.withColumn("_nth", nth(common or keys))
+    keys = [*keys, "_nth"]
     la = a.select(*keys, F.lit(True).alias("_in_a"), *[F.col(c).alias(f"a__{c}") for c in common])
     lb = b.select(*keys, F.lit(True).alias("_in_b"), *[F.col(c).alias(f"b__{c}") for c in common])
     j = la.join(lb, list(keys), "full_outer")

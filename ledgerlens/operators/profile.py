@@ -155,6 +155,7 @@ def hist_equal_width(df: DataFrame, cols: Optional[Sequence[str]] = None, bins:
                     (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"), "count"))
 
 
+VARIANCE_NOISE = 1e-11
 _MOMENT_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
 
@@ -198,7 +199,8 @@ def pair_correlations(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple]
     accurate; each partition emits one row per pair (numpy matrix products on
     its Arrow batches), Spark sums them per pair with a map-side partial
     aggregate, and r = (n Sxy - Sx Sy) / sqrt((n Sxx - Sx^2)(n Syy - Sy^2))
-    is finished in JVM expressions.  A side without variance gives NULL.
+    is finished in JVM expressions.  A side without variance on the pair's rows
+    gives NULL (below ``VARIANCE_NOISE`` of its second moment it is rounding noise).
     Output: (col_a, col_b, corr).
     """
     spark = df.sparkSession
@@ -215,7 +217,9 @@ def pair_correlations(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple]
     vx = n * F.col("sxx") - sx * sx
     vy = n * F.col("syy") - sy * sy
     num = n * F.col("sxy") - sx * sy
-    r = F.when((n > 0) & (vx > 0) & (vy > 0), num / F.sqrt(vx * vy))
+    # a side that is constant on the pair's rows leaves rounding noise against n * Sxx: no variance
+    real = (vx > VARIANCE_NOISE * n * F.col("sxx")) & (vy > VARIANCE_NOISE * n * F.col("syy"))
+    r = F.when((n > 0) & real & (vx > 0) & (vy > 0), num / F.sqrt(vx * vy))
     r = F.when(r > 1.0, F.lit(1.0)).when(r < -1.0, F.lit(-1.0)).otherwise(r)
     names = spark.createDataFrame([(k, c) for c, k in pos.items()], "k int, name string")
     na = names.select(F.col("k").alias("i"), F.col("name").alias("col_a"))
