@@ -94,6 +94,11 @@ def share(prefix: str, k: int) -> Column:
     return F.expr(_share_sql(prefix, k))
 
 
+def share_gap(prefix: str, wide: int, narrow: int) -> Column:
+    """Share over the first ``wide`` slots less the share over the first ``narrow`` ones, from the slot sums."""
+    return F.expr(f"{_share_sql(prefix, wide)} - {_share_sql(prefix, narrow)}")
+
+
 def longest_run(prefix: str, horizon: int) -> Column:
     """Longest run of 1s within the first ``horizon`` slots (running-streak recurrence)."""
     cur = [f"{prefix}0"]

@@ -692,10 +692,8 @@ def feature_importance_topk(spark, sf):
 @q("permutation_importance")
 def permutation_importance(spark, sf):
     tr, va = _train_valid(spark, sf)
-    feats = ML.feature_columns(tr)
-    m = ML.fit_rf(tr, feats, n_trees=100, max_depth=10)
-    top = [r["feature"] for r in ML.feature_importance_topk(m, feats, 3).collect()]
-    return finish(ML.permutation_importance(m, va, top, n_repeats=5))
+    m = ML.fit_rf(tr, n_trees=100, max_depth=10)
+    return finish(ML.permutation_importance(m, va, n_repeats=5))
 
 
 ABLATION_GROUPS = {

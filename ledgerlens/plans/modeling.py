@@ -12,6 +12,7 @@ import json
 import math
 import os
 import random
+import re
 import uuid
 from typing import Dict, List, Optional, Sequence
 
@@ -19,15 +20,17 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.metrics import evaluate_binary, roc_auc
+from ledgerlens.operators.cumulative import global_index
+from ledgerlens.operators.metrics import evaluate_binary, roc_auc_by
 from ledgerlens.operators.profile import numeric_cols
 from ledgerlens.operators.quantiles import quantile_table
-from ledgerlens.operators.sampling import balanced_weights, stratified_split, unit_hash
+from ledgerlens.operators.sampling import balanced_weights, row_hash_key, stratified_split, unit_hash
+from ledgerlens.session import materialize
 
 KEY_COLS = ("id", "rn")
 LABEL_CANDIDATES = ("target", "flag")
@@ -82,9 +85,17 @@ def scale_no_center(df: DataFrame, cols: Sequence[str], stds: Optional[Dict[str,
 
 
 IMP = "_imp_"
+MISSING = "_isnan_"
 
 
-def _impute_stage(cols: Sequence[str], medians: Dict[str, float]) -> SQLTransformer:
+def missing_columns(train: DataFrame, cols: Sequence[str]) -> List[str]:
+    """Columns with a NULL or NaN among the training rows (one aggregate)."""
+    row = train.agg(*[F.max(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).isNull()).alias(c)
+                      for c in cols]).first()
+    return [c for c in cols if row[c]]
+
+
+def _impute_stage(cols: Sequence[str], medians: Dict[str, float], flagged: Sequence[str] = ()) -> SQLTransformer:
     """Keeps every input column and adds ``_imp_<c>`` = c with NULL/NaN -> median.
 
     Scoring data without a label passes through the same saved stage.
@@ -97,24 +108,33 @@ def _impute_stage(cols: Sequence[str], medians: Dict[str, float]) -> SQLTransfor
         val = "NULL" if m is None or m != m else repr(float(m))
         parts.append(f"COALESCE(nanvl(CAST({q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)), CAST({val} AS DOUBLE))"
                      f" AS {q(IMP + c)}")
+    for c in flagged:
+        parts.append(f"CAST(nanvl(CAST({q(c)} AS DOUBLE), CAST(NULL AS DOUBLE)) IS NULL AS DOUBLE) AS {q(MISSING + c)}")
     return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
 
 
-def prepare_stages(train: DataFrame, feats: Sequence[str], scale: bool = True):
-    """Fitted preparation: exact-median impute, assemble, optional 1/std scaling."""
+def prepare_stages(train: DataFrame, feats: Sequence[str], scale: bool = True, flags: bool = False):
+    """Preparation fitted on ``train``: exact-median impute, missing flags, assemble, optional 1/std scaling."""
     medians = median_values(train, feats)
-    stages = [_impute_stage(feats, medians),
-              VectorAssembler(inputCols=[IMP + c for c in feats],
+    flagged = missing_columns(train, feats) if flags else []
+    stages = [_impute_stage(feats, medians, flagged),
+              VectorAssembler(inputCols=[IMP + c for c in feats] + [MISSING + c for c in flagged],
                               outputCol="features_raw" if scale else "features", handleInvalid="keep")]
     if scale:
         imputed = impute_median(train, feats, medians)
         stds = population_std(imputed, feats)
-        inv = [1.0 / s if s and s == s else 1.0 for s in (stds[c] for c in feats)]
+        inv = [1.0 / s if s and s == s else 1.0 for s in (stds[c] for c in feats)] + [1.0] * len(flagged)
         stages.append(ElementwiseProduct(scalingVec=Vectors.dense(inv), inputCol="features_raw",
                                          outputCol="features"))
     return stages
 
 
+def model_inputs(model: PipelineModel) -> List[str]:
+    """Names of the fitted model's vector slots; a missing flag is called ``<column>_isnan``."""
+    cols = next(st for st in model.stages if isinstance(st, VectorAssembler)).getInputCols()
+    return [c[len(IMP):] if c.startswith(IMP) else c[len(MISSING):] + "_isnan" for c in cols]
+
+
 # ------------------------------------------------------------------ training
 def split_frame(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     label = label_column(df)
@@ -123,13 +143,16 @@ def split_frame(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFr
     return stratified_split(lab, test_size, seed, label, keys)
 
 
-def _fit(df: DataFrame, estimator, feats: Sequence[str], scale: bool, weights: bool) -> PipelineModel:
+def _fit(df: DataFrame, estimator, feats: Sequence[str], scale: bool, weights: bool, flags: bool = False,
+         valid_col: Optional[str] = None) -> PipelineModel:
+    """Preparation statistics come from the training rows alone (those where ``valid_col`` is not set)."""
     label = label_column(df)
-    train = df.withColumn("label", F.col(label).cast("double"))
+    data = df.filter(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double"))
     if weights:
-        train = balanced_weights(train, label, "weight")
-    stages = prepare_stages(train, feats, scale)
-    return Pipeline(stages=stages + [estimator]).fit(train)
+        data = balanced_weights(data, label, "weight")
+    train = data.filter(~F.col(valid_col)) if valid_col else data
+    stages = prepare_stages(train, feats, scale, flags)
+    return Pipeline(stages=stages + [estimator]).fit(data)
 
 
 def fit_logreg(train: DataFrame, feats: Optional[Sequence[str]] = None, C: float = 1.0,
@@ -157,31 +180,38 @@ def fit_rf(train: DataFrame, feats: Optional[Sequence[str]] = None, n_trees: int
                                 minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", seed=seed)
     if balanced:
         rf.setWeightCol("weight")
-    return _fit(train, rf, feats, scale=False, weights=balanced)
+    return _fit(train, rf, feats, scale=False, weights=balanced, flags=True)
 
 
 def fit_gbt(train: DataFrame, feats: Optional[Sequence[str]] = None, max_iter: int = 100,
             step: float = 0.03, max_depth: int = 8, subsample: float = 0.9, colsample: float = 0.8,
-            valid_col: Optional[str] = None, seed: int = 42, valid_tol: float = 1e-5) -> PipelineModel:
+            valid_col: Optional[str] = None, seed: int = 42, valid_tol: float = 1e-5,
+            min_child: int = 5) -> PipelineModel:
     """Boosted trees; ``valid_col`` (a boolean column) enables early stopping on those rows.
 
+    Medians and missing flags are fitted on the other rows alone.
+
     Spark stops when the validation loss improves by less than ``valid_tol``
     (relative); the default 0.01 would stop small learning rates after one tree.
     """
     feats = list(feats or feature_columns(train))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, stepSize=step,
                         maxDepth=max_depth, subsamplingRate=subsample,
-                        featureSubsetStrategy=str(colsample), seed=seed, validationTol=valid_tol)
+                        featureSubsetStrategy=str(colsample), seed=seed, validationTol=valid_tol,
+                        minInstancesPerNode=min_child)
     if valid_col:
         gbt.setValidationIndicatorCol(valid_col)
-    return _fit(train, gbt, feats, scale=False, weights=False)
+    return _fit(train, gbt, feats, scale=False, weights=False, flags=True, valid_col=valid_col)
 
 
 # ------------------------------------------------------------------ scoring
 def predict_batch(model: PipelineModel, df: DataFrame, proba: bool = True,
                   id_cols: Optional[Sequence[str]] = None) -> DataFrame:
-    """Probability of class 1 (``pred_proba``) or the label (``pred_label``), id columns first."""
-    ids = [c for c in (id_cols or KEY_COLS) if c in df.columns]
+    """Probability of class 1 (``pred_proba``) or the label (``pred_label``), id columns first.
+
+    ``id_cols=None`` stands for the key columns, an empty sequence for scores alone.
+    """
+    ids = [c for c in (KEY_COLS if id_cols is None else id_cols) if c in df.columns]
     out = model.transform(df)
     if proba:
         return out.select(*ids, vector_to_array("probability")[1].alias("pred_proba"))
@@ -194,63 +224,89 @@ def evaluate_model(model: PipelineModel, valid: DataFrame, name: str = "model")
     return evaluate_binary(pred, label, "pred_proba", name)
 
 
-def feature_importance_topk(model: PipelineModel, feats: Sequence[str], k: int = 20) -> DataFrame:
-    """Impurity importances of the tree stage, top-k (ties by name)."""
+def feature_importance_topk(model: PipelineModel, feats: Optional[Sequence[str]] = None, k: int = 20) -> DataFrame:
+    """Impurity importances of the tree stage, top-k (ties by name); names come from the model."""
     spark = SparkSession.getActiveSession()
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    rows = [(f, float(v)) for f, v in zip(feats, imp)]
+    rows = [(f, float(v)) for f, v in zip(model_inputs(model), imp)]
     return spark.createDataFrame(rows, "feature string, importance double") \
         .orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def permute_column(df: DataFrame, col: str, seed: int, keys: Sequence[str],
-                   n_buckets: Optional[int] = None) -> DataFrame:
-    """Shuffle one column's values across rows.
+def partner_rows(df: DataFrame, keys: Sequence[str], seed: int, cols: Sequence[str]) -> DataFrame:
+    """``df`` with a struct ``_partner`` of ``cols`` from another row: one random permutation of all rows.
 
-    Rows fall into random hash buckets; inside a bucket, row i (by one hash
-    order) takes the value of row i by a second hash order.  Buckets are random
-    samples, so this breaks the feature/target link like a full permutation,
-    with one window shuffle and one equi-join on (bucket, position).
+    Row i of one hash order meets row i of a second hash order, by exact positions,
+    so the result depends on keys and seed alone, not on partitions.
     """
-    from pyspark.sql import Window
-    nb = n_buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    bucket = F.floor(unit_hash(keys, seed) * nb).cast("int")
-    wa = Window.partitionBy("_pb").orderBy(unit_hash(keys, seed + 1), *keys)
-    wb = Window.partitionBy("_pb").orderBy(unit_hash(keys, seed + 2), *keys)
-    a = df.withColumn("_pb", bucket).withColumn("_pp", F.row_number().over(wa))
-    b = df.select(*keys, col).withColumn("_pb", bucket).withColumn("_pp", F.row_number().over(wb)) \
-        .select("_pb", "_pp", F.col(col).alias("_perm"))
-    return a.join(b, ["_pb", "_pp"]).withColumn(col, F.col("_perm")).drop("_perm", "_pb", "_pp")
-
-
-def permutation_importance(model: PipelineModel, valid: DataFrame, feats: Sequence[str],
+    def placed(frame, salt):
+        h = frame.withColumn("_u", unit_hash(keys, salt)).withColumn("_h", row_hash_key(keys, salt))
+        return global_index(h, "_u", tiebreak=["_h", *keys]).drop("_u", "_h")
+    own = placed(df, seed)
+    other = placed(df.select(*keys, F.struct(*cols).alias("_partner")), seed + 1).select("pos", "_partner")
+    return own.join(other, "pos").drop("pos")
+
+
+def permute_column(df: DataFrame, col: str, seed: int, keys: Sequence[str]) -> DataFrame:
+    """One column's values shuffled across all rows."""
+    return partner_rows(df, keys, seed, [col]).withColumn(col, F.col(f"_partner.{col}")).drop("_partner")
+
+
+def permutation_importance(model: PipelineModel, valid: DataFrame, feats: Optional[Sequence[str]] = None,
                            n_repeats: int = 5, seed: int = 42) -> DataFrame:
-    """Mean and std of the ROC-AUC drop when one feature's values are shuffled on the holdout."""
-    spark = valid.sparkSession
+    """Mean, std, min and max of the ROC-AUC drop when one feature's values are shuffled on the holdout.
+
+    All features and repeats are scored in one job: every row meets a partner per
+    repeat and is scored once per feature with that feature's slots (value and
+    missing flag) taken from the partner.
+    """
     label = label_column(valid)
     keys = [k for k in KEY_COLS if k in valid.columns]
-    base = roc_auc(predict_batch(model, valid, id_cols=keys + [label]), label).first()["roc_auc"]
-    rows = []
-    for f in feats:
-        drops = []
-        for r in range(n_repeats):
-            pv = permute_column(valid, f, seed + 1000 * r, keys)
-            auc = roc_auc(predict_batch(model, pv, id_cols=keys + [label]), label).first()["roc_auc"]
-            drops.append(base - auc)
-        m = sum(drops) / len(drops)
-        sd = (sum((d - m) ** 2 for d in drops) / len(drops)) ** 0.5
-        rows.append((f, m, sd))
-    return spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double") \
-        .orderBy(F.desc("importance_mean"), "feature")
-
-
-def group_ablation(df: DataFrame, groups: Dict[str, Sequence[str]], fit=None, seed: int = 42) -> DataFrame:
-    """AUC change when each group of columns is removed (same split, same estimator)."""
+    slots: Dict[str, List[int]] = {}
+    for i, name in enumerate(model_inputs(model)):
+        base = name[:-len("_isnan")] if name.endswith("_isnan") else name
+        slots.setdefault(base, []).append(i)
+    feats = [f for f in (feats if feats is not None else slots) if f in slots]
+    ready = PipelineModel(model.stages[:-1]).transform(valid.filter(F.col(label).isNotNull()))
+    ready = materialize(ready.select(*keys, F.col(label).cast("int").alias("_y"), vector_to_array("features").alias("_x")))
+    base = ready.select("_y", "_x", F.lit(-1).alias("repeat"), F.lit("").alias("feature"))
+    table = F.array(*[F.struct(F.lit(f).alias("f"), F.array(*[F.lit(i) for i in slots[f]]).alias("s")) for f in feats])
+    frames = [base]
+    for r in range(n_repeats):
+        met = partner_rows(ready, keys, seed + 1000 * r, ["_x"])
+        met = met.select("_y", "_x", F.col("_partner._x").alias("_p"), F.explode(table).alias("_f"))
+        frames.append(met.select("_y", F.expr("transform(_x, (x, i) -> if(array_contains(_f.s, i), _p[i], x))").alias("_x"),
+                                 F.lit(r).alias("repeat"), F.col("_f.f").alias("feature")))
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.unionByName(f)
+    last = model.stages[-1]
+    scored = last.transform(rows.select("_y", "repeat", "feature", array_to_vector("_x").alias("features")))
+    auc = materialize(roc_auc_by(scored.select("repeat", "feature", "_y", vector_to_array("probability")[1].alias("_s")),
+                                 ["repeat", "feature"], "_y", "_s"))
+    whole = auc.filter(F.col("repeat") == -1).first()["roc_auc"]
+    drop = F.lit(whole).cast("double") - F.col("roc_auc")
+    return (auc.filter(F.col("repeat") >= 0).groupBy("feature").agg(
+        F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std"),
+        F.min(drop).alias("importance_min"), F.max(drop).alias("importance_max"))
+        .orderBy(F.desc("importance_mean"), "feature"))
+
+
+def match_groups(columns: Sequence[str], patterns: Dict[str, str]) -> Dict[str, List[str]]:
+    """Columns of each group by a regular expression on their names."""
+    return {g: [c for c in columns if re.search(p, c)] for g, p in patterns.items()}
+
+
+def group_ablation(df: DataFrame, groups: Dict[str, Sequence[str]], fit=None, seed: int = 42,
+                   test_size: float = 0.25) -> DataFrame:
+    """AUC change when each group of columns is removed (same split, same estimator).
+
+    A group without columns in the frame is not fitted: (group, 0, NULL, NULL).
+    """
     fit = fit or (lambda tr, fs: fit_rf(tr, fs, n_trees=100, max_depth=10, seed=seed))
     spark = df.sparkSession
-    sp = split_frame(df, 0.2, seed)
+    sp = materialize(split_frame(df, test_size, seed))
     train, valid = sp.filter(~F.col("is_valid")), sp.filter(F.col("is_valid"))
-    label = label_column(df)
     all_feats = feature_columns(df)
 
     def auc(feats):
@@ -262,27 +318,42 @@ def group_ablation(df: DataFrame, groups: Dict[str, Sequence[str]], fit=None, se
     for g, cols in groups.items():
         cols = [c for c in cols if c in all_feats]
         kept = [c for c in all_feats if c not in cols]
+        if not cols or not kept:
+            rows.append((g, len(cols), None, None))
+            continue
         a = auc(kept)
-        rows.append((g, len(cols), a, a - full))
+        rows.append((g, len(cols), a, a - full if a is not None and full is not None else None))
     return spark.createDataFrame(rows, "group string, n_cols int, roc_auc double, delta_auc double")
 
 
+def stratified_folds(df: DataFrame, n_folds: int, seed: int = 42, out: str = "fold") -> DataFrame:
+    """Fold = position within the class modulo ``n_folds``: sizes differ by at most one per class.
+
+    The order is a hash with its own salt, so folds are independent of a split
+    that was cut on the plain seed.
+    """
+    label = label_column(df)
+    keys = [k for k in KEY_COLS if k in df.columns]
+    h = df.filter(F.col(label).isNotNull()).withColumn("_u", unit_hash([*keys], seed + 7919)) \
+        .withColumn("_h", row_hash_key(keys, seed + 7919))
+    placed = global_index(h, "_u", partition_cols=[label], tiebreak=["_h", *keys])
+    return placed.withColumn(out, F.pmod("pos", F.lit(n_folds)).cast("int")).drop("_u", "_h", "pos")
+
+
 def random_search_cv(df: DataFrame, n_iter: int = 30, n_folds: int = 4, seed: int = 42,
                      space: Optional[Dict[str, list]] = None, max_iter: int = 50) -> DataFrame:
     """Random parameter draws scored by stratified k-fold mean ROC-AUC.
 
-    Folds come from the row hash.  Each fold's model trains on the other folds
+    Folds are stratified by class (``stratified_folds``) and written once.  Each fold's model trains on the other folds
     and early-stops on its own fold (``validationIndicatorCol``); the rounds it
     kept are averaged per draw and ``final_rounds = ceil(mean rounds * 1.1)``
     is the size for a final fit on all rows.
     """
     rng = random.Random(seed)
     space = space or {"max_depth": [3, 4, 5, 6, 8], "step": [0.03, 0.05, 0.1],
-                      "subsample": [0.7, 0.8, 0.9, 1.0], "colsample": [0.6, 0.8, 1.0]}
-    label = label_column(df)
-    keys = [k for k in KEY_COLS if k in df.columns]
-    lab = df.filter(F.col(label).isNotNull())
-    folded = lab.withColumn("fold", F.floor(unit_hash(keys, seed) * n_folds).cast("int"))
+                      "subsample": [0.7, 0.8, 0.9, 1.0], "colsample": [0.6, 0.8, 1.0],
+                      "min_child": [1, 5, 10, 20]}
+    folded = materialize(stratified_folds(df, n_folds, seed))
     feats = feature_columns(df, exclude=("o_orderkey", "rn_dup", "fold", "_val"))
     spark = df.sparkSession
     rows = []
@@ -292,7 +363,8 @@ def random_search_cv(df: DataFrame, n_iter: int = 30, n_folds: int = 4, seed: in
         for f in range(n_folds):
             fd = folded.withColumn("_val", F.col("fold") == f).drop("fold")
             m = fit_gbt(fd, feats, max_iter=max_iter, step=p["step"], max_depth=p["max_depth"],
-                        subsample=p["subsample"], colsample=p["colsample"], valid_col="_val", seed=seed)
+                        subsample=p["subsample"], colsample=p["colsample"], min_child=p.get("min_child", 5),
+                        valid_col="_val", seed=seed)
             rounds.append(m.stages[-1].getNumTrees)
             aucs.append(evaluate_model(m, fd.filter(F.col("_val")).drop("_val")).first()["roc_auc"])
         mean_rounds = sum(rounds) / len(rounds)
@@ -311,7 +383,7 @@ def refit_best(df: DataFrame, search: DataFrame, seed: int = 42) -> PipelineMode
     lab = df.filter(F.col(label).isNotNull())
     feats = feature_columns(lab, exclude=("o_orderkey", "rn_dup", "fold", "_val"))
     return fit_gbt(lab, feats, max_iter=int(best["final_rounds"]), step=p["step"], max_depth=p["max_depth"],
-                   subsample=p["subsample"], colsample=p["colsample"], seed=seed)
+                   subsample=p["subsample"], colsample=p["colsample"], min_child=p.get("min_child", 5), seed=seed)
 
 
 # ------------------------------------------------------------------ persistence / batch job

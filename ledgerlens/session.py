@@ -26,10 +26,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEM", "16g"))
+        .config("spark.driver.memory", os.environ.get("LEDGERLENS_DRIVER_MEM", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # feature frames are ~110 columns wide; keep them in whole-stage codegen
-        .config("spark.sql.codegen.maxFields", "1000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
