@@ -8,7 +8,8 @@ which is compared once however many copies it has.
 
 T-occurrence.  A partner of a set of n shares at least T = ceil(0.8 n) of its
 inverted lists.  DivideSkip sets the T - h longest lists aside: a partner must then
-occur on at least h of the n - T + h short ones.  Lists are ranked by one order for
+occur on at least h of the n - T + h short ones (h grows with T, so that a passage in
+common does not make long texts candidates).  Lists are ranked by one order for
 all documents: the most frequent shingles of the corpus (a bounded table gathered
 from all rows) come last by their count, the others first by fingerprint.  The
 order decides the cost, never a result.
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import chunks, components, drop_saved, mix64, save, shingles, signed
 
-SHORT_HITS = 3           # h: occurrences asked for on the short lists
+LEAST_HITS, HIT_SHARE = 3, 12     # h = LEAST_HITS + T // HIT_SHARE occurrences are asked for on the short lists
 ORDER_ROWS = 1 << 17     # entries of the broadcast order table, 12 bytes each
 BLOCK_ROWS = 1 << 18     # postings merged at a time
 
@@ -68,6 +69,12 @@ def needed(n: np.ndarray | int):
     return (4 * n + 4) // 5
 
 
+def hits(n: int) -> int:
+    """h: occurrences on its short lists that a set of n asks of a partner (as many as there are, if fewer)."""
+    t = needed(n)
+    return min(t, LEAST_HITS + t // HIT_SHARE)
+
+
 def list_order(src: DataFrame, per_task: int = 4096, rows: int = ORDER_ROWS) -> np.ndarray:
     """The corpus's most frequent shingles, sorted by fingerprint, with their rank by count.
 
@@ -99,11 +106,10 @@ def list_order(src: DataFrame, per_task: int = 4096, rows: int = ORDER_ROWS) ->
     return np.sort(out, order="token")
 
 
-def short_list(s: np.ndarray, order: np.ndarray, hits: int) -> np.ndarray:
+def short_list(s: np.ndarray, order: np.ndarray) -> np.ndarray:
     """The n - T + h first shingles of a set in the order of lists."""
     n = len(s)
-    t = needed(n)
-    size = n - t + min(hits, t)
+    size = n - needed(n) + hits(n)
     if len(order):
         i = np.minimum(np.searchsorted(order["token"], s), len(order) - 1)
         rank = np.where(order["token"][i] == s, order["rank"][i], 0)
@@ -148,9 +154,9 @@ def _merge(batches):
     for (q, _), (nq, token, c, nc) in runs(batches, 2):
         cut = np.flatnonzero(token[1:] != token[:-1]) + 1
         size = dict(zip(c.tolist(), nc.tolist()))
-        own = min(SHORT_HITS, int(needed(int(nq[0]))))
-        found = [(int(q), m) for m, n in merge_skip(np.split(c, cut), 1)
-                 if n >= min(own, int(needed(size[m])))]
+        own, least = hits(int(nq[0])), {m: hits(n) for m, n in size.items()}
+        found = [(int(q), m) for m, n in merge_skip(np.split(c, cut), min(own, *least.values()))
+                 if n >= min(own, least[m])]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
@@ -212,7 +218,7 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(c)
-                short = short_list(s, order.value, SHORT_HITS)
+                short = short_list(s, order.value)
                 tokens.append(signed(short))
                 cls.append(np.full(len(short), c, dtype=np.int64))
                 size.append(np.full(len(short), len(s), dtype=np.int32))
@@ -220,13 +226,14 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, cls, size)],
                                                  names=["token", "cls", "n"])
 
-    hits = F.least(F.lit(SHORT_HITS), F.floor((F.col("n") * 4 + 4) / 5).cast("int"))
+    t = F.floor((F.col("n") * 4 + 4) / 5)
+    asked = F.least(t, F.lit(LEAST_HITS) + F.floor(t / HIT_SHARE))
     # a token's list ends where another begins, so one exchange serves both steps; only counts are kept per token
     once = (src.mapInArrow(postings, "token long, cls long, n int").repartition(n_tasks, "token")
             .groupBy("token", "cls").agg(F.first("n").alias("n")))
     several = save(once.withColumn("df", F.count("*").over(Window.partitionBy("token")))
                    .where("df > 1").select("token", "cls", "n"), "postings")
-    met = (several.groupBy("cls", "n").agg(F.count("*").alias("met")).where(F.col("met") >= hits)
+    met = (several.groupBy("cls", "n").agg(F.count("*").alias("met")).where(F.col("met") >= asked)
            .withColumn("central", F.col("met") / F.col("n")))
     met = save(met, "met")
     post = save(several.join(met.select("cls", "met", "central"), "cls"), "postings")
