@@ -83,3 +83,43 @@ def test_scan_limit_files_and_resolve(spark, sf):
     assert part.select("source_file").distinct().count() == 3
     assert IO.resolve_columns(["id", "rn", "enc_paym_1", "enc_paym_0", "x"], ["rn", "zz"], ["enc_paym_"]) == \
         ["enc_paym_0", "enc_paym_1", "rn"]
+
+
+def test_stratified_folds_and_permutation_do_not_depend_on_partitions(spark):
+    from ledgerlens.plans import modeling as ML
+    rows = [(str(i), 1, int(i % 5 == 0), float(i)) for i in range(503)]
+    df = spark.createDataFrame(rows, "id string, rn int, target int, x double")
+    # rows left after a split that was cut on the plain seed
+    train = ML.split_frame(df, 0.2, 42).filter("not is_valid").drop("is_valid")
+    seen = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            folds = ML.stratified_folds(train, 4, 42).collect()
+            for c in (0, 1):
+                sizes = [sum(r["target"] == c and r["fold"] == f for r in folds) for f in range(4)]
+                assert max(sizes) - min(sizes) <= 1
+            moved = ML.permute_column(df, "x", 7, ["id", "rn"]).collect()
+            assert sorted(r["x"] for r in moved) == sorted(x[3] for x in rows)
+            assert sum(r["x"] == float(r["id"]) for r in moved) < 15
+            seen.append((sorted((r["id"], r["fold"]) for r in folds), sorted((r["id"], r["x"]) for r in moved)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1]
+
+
+def test_planted_feature_ranks_first_and_missing_flags_enter(spark):
+    from ledgerlens.plans import modeling as ML
+    import random
+    rng = random.Random(0)
+    rows = [(str(i), 1, i % 2, i % 2 + rng.random() * 0.2, None if i % 7 == 0 else rng.random(), rng.random()) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, rn int, target int, good double, holes double, noise double")
+    sp = ML.split_frame(df, 0.3, 42)
+    m = ML.fit_rf(sp.filter("not is_valid").drop("is_valid"), n_trees=10, max_depth=4)
+    assert "holes_isnan" in ML.model_inputs(m) and "good_isnan" not in ML.model_inputs(m)
+    imp = ML.permutation_importance(m, sp.filter("is_valid").drop("is_valid"), n_repeats=2).collect()
+    assert imp[0]["feature"] == "good" and {r["feature"] for r in imp} == {"good", "holes", "noise"}
+    abl = {r["group"]: r for r in ML.group_ablation(
+        df, {"none": [], "noise": ["noise"]}, fit=lambda t, f: ML.fit_rf(t, f, n_trees=5, max_depth=3)).collect()}
+    assert abl["none"]["n_cols"] == 0 and abl["none"]["roc_auc"] is None and abl["noise"]["n_cols"] == 1
