@@ -186,7 +186,11 @@ def repeated_offsets(before: list[bytes], after: list[bytes], width: int = WIDTH
         np.maximum.at(top, who[pair + 1], shared)
         lo = max(0, width - r)
         for i in np.flatnonzero((top > best) & (top >= lo)).tolist():
-            out[i].append((lo, int(top[i])))
+            hi = int(top[i])
+            if out[i] and lo <= out[i][-1][1] + 1:             # ranges come with growing ends on both sides
+                out[i][-1] = (out[i][-1][0], hi)
+            else:
+                out[i].append((lo, hi))
         best = np.maximum(best, top)
     return out
 
@@ -229,8 +233,17 @@ def find_anchors(buf: np.ndarray, off: np.ndarray, ph: PrefixHash):
     return text_of[pos], pos, gram[pos]
 
 
+ANCHORS = "kind int, gram long, rec long, tid long, pos long, before int, after int"
+
+
 def _anchor_rows(batches):
+    """Anchors of every content (kind 0), one for each context in it, and its spans of contexts it holds twice (kind 1).
+
+    In periodic text every period is an anchor; but there a context comes again in
+    the same text, so its bytes are repeats already and one row stands for all.
+    """
     done: set[int] = set()
+    names = ["kind", "gram", "rec", "tid", "pos", "before", "after"]
     for b in batches:
         for _, _, buf, off in chunks(b.column(0)):
             if not len(buf):
@@ -253,10 +266,23 @@ def _anchor_rows(batches):
             before = np.minimum(pos - a, BEFORE)
             after = np.minimum(z - pos, WIDTH)
             rec = mix64(ph.ranges(pos - before, pos + after) + before.astype(np.uint64))
+            _, first, back, count = np.unique(mix64(mix64(gram ^ t.astype(np.uint64)) ^ rec), return_index=True,
+                                              return_inverse=True, return_counts=True)
+            twice = np.flatnonzero((count[back] > 1) & (before + after >= WIDTH))
+            if len(twice):
+                lo, hi, tt = pos[twice] - before[twice], pos[twice] + after[twice], t[twice]
+                cut = np.flatnonzero((lo[1:] > hi[:-1]) | (tt[1:] != tt[:-1])) + 1
+                at, end = np.concatenate([[0], cut]), np.concatenate([cut - 1, [len(lo) - 1]])
+                own, k = signed(tid[tt[at]]), len(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ones(k, np.int32)), pa.array(own), pa.array(np.zeros(k, np.int64)), pa.array(own),
+                     pa.array(lo[at] - off[tt[at]]), pa.array(np.zeros(k, np.int32)),
+                     pa.array((hi[end] - lo[at]).astype(np.int32))], names=names)
+            t, pos, gram, rec, before, after, a = (x[first] for x in (t, pos, gram, rec, before, after, a))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(gram)), pa.array(signed(rec)), pa.array(signed(tid[t])), pa.array(pos - a),
-                 pa.array(before.astype(np.int32)), pa.array(after.astype(np.int32))],
-                names=["gram", "rec", "tid", "pos", "before", "after"])
+                [pa.array(np.zeros(len(pos), np.int32)), pa.array(signed(gram)), pa.array(signed(rec)),
+                 pa.array(signed(tid[t])), pa.array(pos - a), pa.array(before.astype(np.int32)),
+                 pa.array(after.astype(np.int32))], names=names)
 
 
 def _with_tid(batches):
@@ -314,13 +340,15 @@ def _contexts(batches):
 
 
 def _sorted_groups(batches):
-    """Contexts sorted by gram -> (gram, rec, lo, hi): strings that are in another context too."""
+    """Contexts sorted by gram -> (gram, rec, ranges): strings that are in another context too."""
+    ranges = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
     for (gram,), (rec, before, after) in runs(batches, 1):
         found = repeated_offsets(before.tolist(), after.tolist())
-        rows = [(int(gram), int(rec[i]), lo, hi) for i, r in enumerate(found) for lo, hi in r]
+        rows = [(int(rec[i]), [{"lo": lo, "hi": hi} for lo, hi in r]) for i, r in enumerate(found) if r]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)],
-                                             names=["gram", "rec", "lo", "hi"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(gram)] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int64()),
+                 pa.array([r[1] for r in rows], ranges)], names=["gram", "rec", "ranges"])
 
 
 def _strings(batches):
@@ -374,48 +402,47 @@ def repeated_spans(src: DataFrame, copies: DataFrame, group_rows: int = 20_000):
     src: one column ``text``; copies: the fingerprints (tid) of contents that occur more than once.
     """
     n = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    gram, rec = Window.partitionBy("gram"), Window.partitionBy("gram", "rec")
+    gram, rec = Window.partitionBy("kind", "gram"), Window.partitionBy("kind", "gram", "rec")
     here = F.struct("tid", "pos")
-    # one exchange by gram; a gram's share of all anchors is small even where every text holds it
+    # one exchange by gram; a text has at most one row for each of its contexts
     known = save(
-        src.mapInArrow(_anchor_rows, "gram long, rec long, tid long, pos long, before int, after int")
-        .repartition(n, "gram")
+        src.mapInArrow(_anchor_rows, ANCHORS).repartition(n, "kind", "gram")
         .withColumns({"first": F.min(here).over(rec), "last": F.max(here).over(rec)})
         .withColumns({"r0": F.min("rec").over(gram), "r1": F.max("rec").over(gram)})
-        .where("r0 <> r1 or first <> last")
-        .select("gram", "rec", "tid", "pos", "before", "after", (F.col("first") < F.col("last")).alias("same"),
+        .where("kind = 1 or r0 <> r1 or first <> last")
+        .select("kind", "gram", "rec", "tid", "pos", "before", "after", (F.col("first") < F.col("last")).alias("same"),
                 (F.col("r0") < F.col("r1")).alias("several"), (F.col("first") == here).alias("lead")), "anchors")
-    lead = known.where("several and lead").select("gram", "rec", "tid", "pos").distinct()
-    marks = lead.groupBy("tid").agg(F.collect_list(F.struct("gram", "rec", "pos")).alias("marks"))
-    # contents whose bytes are needed: those that contexts are read from, and those that keep a part
-    alone = known.select("tid").distinct().join(copies, "tid", "left_anti")
-    need = alone.union(marks.select("tid")).distinct()
+    lead = known.where("kind = 0 and several and lead").select("gram", "rec", "tid", "pos")
+    # as a set: a content that several tasks have met is in there several times
+    marks = lead.groupBy("tid").agg(F.collect_set(F.struct("gram", "rec", "pos")).alias("marks"))
+    # contents that keep a part, and with them those whose bytes are needed: contexts are read from the latter
+    alone = known.join(copies, "tid", "left_anti")
+    need = alone.select("tid").union(marks.select("tid")).distinct()
     texts = save(src.mapInArrow(_contents, "tid long, text string").join(need, "tid").dropDuplicates(["tid"])
                  .select("tid", F.col("text").cast("binary").alias("text")), "texts")
     contexts = (texts.join(marks, "tid").select("text", "marks")
                 .mapInArrow(_contexts, "gram long, rec long, before binary, after binary"))
+    groups = "gram long, rec long, ranges array<struct<lo: long, hi: long>>"
     sizes = lead.groupBy("gram").agg(F.count("*").alias("c"))
     if not sizes.where(F.col("c") > group_rows).limit(1).count():
-        found = (contexts.repartition(n, "gram").sortWithinPartitions("gram")
-                 .mapInArrow(_sorted_groups, "gram long, rec long, lo long, hi long"))
+        found = (contexts.repartition(n, "gram").sortWithinPartitions("gram").mapInArrow(_sorted_groups, groups))
     else:
         contexts = save(contexts, "contexts")
         big = sizes.where(F.col("c") > group_rows).select("gram")
         found = (contexts.join(big, "gram", "left_anti").repartition(n, "gram").sortWithinPartitions("gram")
-                 .mapInArrow(_sorted_groups, "gram long, rec long, lo long, hi long"))
+                 .mapInArrow(_sorted_groups, groups))
         rows = save(contexts.join(big, "gram", "left_semi")
                     .mapInArrow(_strings, "gram long, rec long, x long, h long"), "strings")
         twice = (rows.groupBy("gram", "x", "h").agg(F.min("rec").alias("a"), F.max("rec").alias("b"))
                  .where("a <> b").select("gram", "x", "h"))
-        found = found.unionByName(rows.join(twice, ["gram", "x", "h"]).select(
-            "gram", "rec", F.col("x").alias("lo"), F.col("x").alias("hi")))
+        found = found.unionByName(rows.join(twice, ["gram", "x", "h"]).groupBy("gram", "rec").agg(
+            F.collect_list(F.struct(F.col("x").alias("lo"), F.col("x").alias("hi"))).alias("ranges")))
     found = save(found, "offsets")
-    mine = known.where("several").select("gram", "rec", "tid", "pos").distinct().join(found, ["gram", "rec"]).select(
-        "tid", (F.col("pos") - F.col("hi")).alias("a"), (F.col("pos") - F.col("lo") + WIDTH).alias("z"))
-    whole = known.where(F.col("same") & (F.col("before") + F.col("after") >= WIDTH)).select(
-        "tid", (F.col("pos") - F.col("before")).alias("a"), (F.col("pos") + F.col("after")).alias("z"))
-    spans = (mine.unionByName(whole.select("tid", "a", "z")).distinct()
-             .groupBy("tid").agg(F.collect_list(F.struct("a", "z")).alias("spans")))
+    mine = alone.where("kind = 0 and several").select("gram", "rec", "tid", "pos").join(found, ["gram", "rec"]).select(
+        "tid", F.expr(f"transform(ranges, r -> struct(pos - r.hi as a, pos - r.lo + {WIDTH} as z))").alias("part"))
+    whole = alone.where(f"kind = 1 or same and before + after >= {WIDTH}").select(
+        "tid", F.expr("array(struct(pos - before as a, pos + after as z))").alias("part"))
+    spans = mine.unionByName(whole).groupBy("tid").agg(F.flatten(F.collect_list("part")).alias("spans"))
     return spans, texts, (known, found)
 
 
@@ -426,7 +453,7 @@ def _judged(df: DataFrame, id_col: str, text_col: str, group_rows: int):
                 .drop("text"), "rows")
     copies = rows.groupBy("tid").agg(F.count("*").alias("c")).where("c > 1").select("tid")
     spans, texts, behind = repeated_spans(src, copies, group_rows)
-    part = (texts.join(spans.join(copies, "tid", "left_anti"), "tid").select("tid", "text", "spans")
+    part = (texts.join(spans, "tid").select("tid", "text", "spans")
             .mapInArrow(_cut, "tid long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
     return rows, copies, part, (texts, *behind)
 
