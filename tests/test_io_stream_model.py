@@ -12,7 +12,7 @@ from ledgerlens.plans import modeling as ML
 from ledgerlens.session import scratch_dir
 from ledgerlens.sources import io as IO
 from ledgerlens.sources.fixtures import credit_products, labels_credit
-from ledgerlens.streaming.incremental import incremental_assembly, row_fn
+from ledgerlens.streaming.incremental import complete_versions, incremental_assembly, row_fn
 
 
 def _tmp(spark, name):
@@ -42,8 +42,11 @@ def test_shards_profile_and_inventory(spark, sf):
 def test_incremental_assembly_equals_batch(spark, sf):
     root = C.write_shards(spark, sf, drop_upper=False)
     schema = spark.read.parquet(root).schema
-    last = incremental_assembly(spark, root, _tmp(spark, "versions"), _tmp(spark, "ckpt"), schema,
-                                tiebreak=["o_orderkey"], files_per_trigger=5)
+    out, ckpt = _tmp(spark, "versions"), _tmp(spark, "ckpt")
+    last = incremental_assembly(spark, root, out, ckpt, schema, tiebreak=["o_orderkey"], files_per_trigger=5)
+    # nothing new: the newest version is still the answer, and old ones are gone
+    assert incremental_assembly(spark, root, out, ckpt, schema, tiebreak=["o_orderkey"]) == last
+    assert len(complete_versions(spark, out)) <= 2
     got = sorted(map(tuple, spark.read.parquet(last).select("id", "rn", "o_orderkey").collect()))
     exp = sorted(map(tuple, latest_record(credit_products(spark, sf), tiebreak=["o_orderkey"])
                      .select("id", "rn", "o_orderkey").collect()))
