@@ -9,7 +9,6 @@ value by value.
 
 from __future__ import annotations
 
-import dataclasses
 import os
 import uuid
 from typing import Callable, Dict
@@ -527,11 +526,13 @@ _seq_q("paym_momentum", ["paym_late_momentum_6", "paym_late_momentum_12", "paym_
 
 @q("paym_transitions")
 def paym_transitions(spark, sf):
-    c = features_v2(cp(spark, sf), SEQ_ONLY)
-    compat = features_v2(cp(spark, sf).select("id", "rn", *FX.PAYM_COLS),
-                         dataclasses.replace(SEQ_ONLY, compat_uint8=True))
-    compat = compat.select("id", "rn", F.col("paym_transitions_24").alias("paym_transitions_compat_24"))
-    return c.select("id", "rn", *[f"paym_transitions_{k}" for k in (3, 6, 12, 24)]).join(compat, ["id", "rn"])
+    """Both counts from one set of slot columns, in one projection."""
+    rows = cp(spark, sf)
+    slots = S.slot_flags(S.order_paym_cols(rows.columns, SEQ_ONLY.paym_cols), SEQ_ONLY.paym_ok_values,
+                         SEQ_ONLY.paym_late_values)
+    return rows.withColumns(slots).select(
+        "id", "rn", *[S.switches(S.LATE_PREFIX, k).alias(f"paym_transitions_{k}") for k in (3, 6, 12, 24)],
+        S.switches(S.LATE_PREFIX, 24, compat_uint8=True).alias("paym_transitions_compat_24"))
 
 
 # ================================================================ 2.8 row-local math / flags
