@@ -73,17 +73,16 @@ def _templates(templates: dict[str, str], threshold: float):
     """The templates as one literal array column; its size is that of ``templates``."""
     # a hair wider, so that rounding prunes nothing on the bound
     lo, hi = threshold / (2 - threshold) * (1 - 1e-9), (2 - threshold) / threshold * (1 + 1e-9)
-    rows = []
+    rows, sizes = [], []
     for name, text in sorted(templates.items()):
-        bag = template_bigrams(text)
-        k = sum(bag.values())
-        rows.append(F.struct(
-            F.lit(name).alias("name"), F.lit(k).alias("k"), F.lit(lo * k).alias("low"), F.lit(hi * k).alias("high"),
-            F.lit(max(bag.values())).alias("most"),
-            F.array(*[F.lit(b) for b in sorted(bag)]).alias("grams"),
-            F.array(*[F.struct(F.lit(b).alias("b"), F.lit(c).alias("c")) for b, c in sorted(bag.items())]).alias("bag")))
-    return F.array(*rows), min(lo * sum(template_bigrams(t).values()) for t in templates.values()), \
-        max(hi * sum(template_bigrams(t).values()) for t in templates.values())
+        bag = sorted(template_bigrams(text).items())
+        k = sum(c for _, c in bag)
+        sizes.append(k)
+        # words of letters and digits only, so plain quotes do; one parse for all templates
+        rows.append(f"named_struct('name', '{name}', 'k', {k}, 'low', {lo * k!r}D, 'high', {hi * k!r}D, "
+                    f"'most', {max(c for _, c in bag)}, 'grams', array({', '.join(repr(g) for g, _ in bag)}), "
+                    f"'bag', array({', '.join(f"named_struct('b', {g!r}, 'c', {c})" for g, c in bag)}))")
+    return F.expr(f"array({', '.join(rows)})"), lo * min(sizes), hi * max(sizes)
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
