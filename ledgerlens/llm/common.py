@@ -164,10 +164,23 @@ def save(df: DataFrame, tag: str = "step") -> DataFrame:
     return out
 
 
+def save_bucketed(df: DataFrame, key: str, tag: str = "bucketed") -> DataFrame:
+    """Like ``save``, as a table bucketed by ``key``: several later joins on it move the other side only."""
+    spark = df.sparkSession
+    name = f"llm_{tag}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).option("path", scratch_dir(spark, name)).saveAsTable(name)
+    out = spark.table(name)
+    out._llm_path, out._llm_table = scratch_dir(spark, name), name
+    return out
+
+
 def drop_saved(*tables: DataFrame) -> None:
-    """Delete tables made by ``save`` that no later step reads."""
+    """Delete tables made by ``save`` or ``save_bucketed`` that no later step reads."""
     for t in tables:
         path = getattr(t, "_llm_path", None)
+        if getattr(t, "_llm_table", None):
+            t.sparkSession.sql(f"DROP TABLE {t._llm_table}")
         if path:
             jvm = t.sparkSession._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)

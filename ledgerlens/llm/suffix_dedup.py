@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import PrefixHash, chunks, drop_saved, mix64, save, signed
+from ledgerlens.llm.common import PrefixHash, chunks, drop_saved, mix64, save, save_bucketed, signed
 from ledgerlens.llm.ngram_join import runs
 
 WIDTH = 200
@@ -325,18 +325,18 @@ def _contents(batches):
 
 
 def _contexts(batches):
-    """(text, [(gram, rec, pos)]) -> (gram, rec, before reversed, after)"""
+    """(text, [(gram, rec, pos, wide)]) -> (gram, rec, before reversed, after, wide)"""
     for b in batches:
         rows = []
         for text, marks in zip(b.column(0), b.column(1).to_pylist()):
             data = text.as_buffer().to_pybytes()
             for m in marks:
                 p = m["pos"]
-                rows.append((m["gram"], m["rec"], data[max(0, p - BEFORE):p][::-1], data[p:p + WIDTH]))
+                rows.append((m["gram"], m["rec"], data[max(0, p - BEFORE):p][::-1], data[p:p + WIDTH], m["wide"]))
         if rows:
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                             names=["gram", "rec", "before", "after"])
+                                             names=["gram", "rec", "before", "after", "wide"])
 
 
 def _sorted_groups(batches):
@@ -396,7 +396,7 @@ def _cut(batches):
                                              names=["tid", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def repeated_spans(src: DataFrame, copies: DataFrame, group_rows: int = 20_000):
+def repeated_spans(src: DataFrame, copies: DataFrame, group_rows: int = 100_000):
     """(spans per text content, the contents they are in, the saved tables behind the spans).
 
     src: one column ``text``; copies: the fingerprints (tid) of contents that occur more than once.
@@ -413,25 +413,26 @@ def repeated_spans(src: DataFrame, copies: DataFrame, group_rows: int = 20_000):
         .select("kind", "gram", "rec", "tid", "pos", "before", "after", (F.col("first") < F.col("last")).alias("same"),
                 (F.col("r0") < F.col("r1")).alias("several"), (F.col("first") == here).alias("lead")), "anchors")
     lead = known.where("kind = 0 and several and lead").select("gram", "rec", "tid", "pos")
+    # grams with more contexts than one task gathers: at most one in group_rows rows
+    big = lead.groupBy("gram").agg(F.count("*").alias("c")).where(F.col("c") > group_rows).select("gram")
+    some = big.limit(1).count() > 0
+    lead = lead.join(big.withColumn("wide", F.lit(True)), "gram", "left") if some else lead.withColumn(
+        "wide", F.lit(None).cast("boolean"))
     # as a set: a content that several tasks have met is in there several times
-    marks = lead.groupBy("tid").agg(F.collect_set(F.struct("gram", "rec", "pos")).alias("marks"))
+    marks = lead.groupBy("tid").agg(F.collect_set(F.struct("gram", "rec", "pos", "wide")).alias("marks"))
     # contents that keep a part, and with them those whose bytes are needed: contexts are read from the latter
     alone = known.join(copies, "tid", "left_anti")
     need = alone.select("tid").union(marks.select("tid")).distinct()
-    texts = save(src.mapInArrow(_contents, "tid long, text string").join(need, "tid").dropDuplicates(["tid"])
-                 .select("tid", F.col("text").cast("binary").alias("text")), "texts")
+    # read by two joins on tid
+    texts = save_bucketed(src.mapInArrow(_contents, "tid long, text string").join(need, "tid").dropDuplicates(["tid"])
+                          .select("tid", F.col("text").cast("binary").alias("text")), "tid", "texts")
     contexts = (texts.join(marks, "tid").select("text", "marks")
-                .mapInArrow(_contexts, "gram long, rec long, before binary, after binary"))
-    groups = "gram long, rec long, ranges array<struct<lo: long, hi: long>>"
-    sizes = lead.groupBy("gram").agg(F.count("*").alias("c"))
-    if not sizes.where(F.col("c") > group_rows).limit(1).count():
-        found = (contexts.repartition(n, "gram").sortWithinPartitions("gram").mapInArrow(_sorted_groups, groups))
-    else:
-        contexts = save(contexts, "contexts")
-        big = sizes.where(F.col("c") > group_rows).select("gram")
-        found = (contexts.join(big, "gram", "left_anti").repartition(n, "gram").sortWithinPartitions("gram")
-                 .mapInArrow(_sorted_groups, groups))
-        rows = save(contexts.join(big, "gram", "left_semi")
+                .mapInArrow(_contexts, "gram long, rec long, before binary, after binary, wide boolean"))
+    contexts = save(contexts, "contexts") if some else contexts
+    found = (contexts.where("wide is null").drop("wide").repartition(n, "gram").sortWithinPartitions("gram")
+             .mapInArrow(_sorted_groups, "gram long, rec long, ranges array<struct<lo: long, hi: long>>"))
+    if some:
+        rows = save(contexts.where("wide").drop("wide")
                     .mapInArrow(_strings, "gram long, rec long, x long, h long"), "strings")
         twice = (rows.groupBy("gram", "x", "h").agg(F.min("rec").alias("a"), F.max("rec").alias("b"))
                  .where("a <> b").select("gram", "x", "h"))
@@ -459,7 +460,7 @@ def _judged(df: DataFrame, id_col: str, text_col: str, group_rows: int):
 
 
 def repeat_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  group_rows: int = 20_000) -> DataFrame:
+                  group_rows: int = 100_000) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``df``."""
     rows, copies, part, temp = _judged(df, id_col, text_col, group_rows)
     part = save(part.drop("kept"), "cut")
@@ -473,7 +474,7 @@ def repeat_report(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256")))
 
 
-def remove_repeats(df: DataFrame, text_col: str = "text", group_rows: int = 20_000) -> DataFrame:
+def remove_repeats(df: DataFrame, text_col: str = "text", group_rows: int = 100_000) -> DataFrame:
     """``df`` with its texts cut; a character of which only some bytes are left goes with them."""
     _, copies, part, temp = _judged(df.withColumn("_id", F.lit(None).cast("long")), "_id", text_col, group_rows)
 
