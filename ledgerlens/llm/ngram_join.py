@@ -149,14 +149,24 @@ def merge_skip(lists: list[np.ndarray], least: int):
             yield member, n
 
 
+def pair_hits(n: int, m: int) -> int:
+    """Occurrences on both short lists that sets of n and m have if they link.
+
+    They share O >= 4 (n + m) / 9 shingles.  In the order of lists the j-th of these lies at most
+    at place j + n - O of the one set, which is on its n - T + h short lists for j <= O - T + h.
+    """
+    shared = -(-4 * (n + m) // 9)
+    return min(shared - needed(n) + hits(n), shared - needed(m) + hits(m))
+
+
 def _merge(batches):
     """Rows (q, block, nq, token, c, nc) sorted by q, block, token, c -> candidate pairs."""
     for (q, _), (nq, token, c, nc) in runs(batches, 2):
         cut = np.flatnonzero(token[1:] != token[:-1]) + 1
-        size = dict(zip(c.tolist(), nc.tolist()))
-        own, least = hits(int(nq[0])), {m: hits(n) for m, n in size.items()}
-        found = [(int(q), m) for m, n in merge_skip(np.split(c, cut), min(own, *least.values()))
-                 if n >= min(own, least[m])]
+        own = int(nq[0])
+        by_size = {m: pair_hits(own, m) for m in np.unique(nc).tolist()}
+        least = {m: by_size[n] for m, n in zip(c.tolist(), nc.tolist())}
+        found = [(int(q), m) for m, n in merge_skip(np.split(c, cut), min(by_size.values())) if n >= least[m]]
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
