@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import read, save
+from ledgerlens.llm.common import bounded_batches, read, save
 from ledgerlens.llm.decontaminate import remove_contaminated
 from ledgerlens.llm.language import UNKNOWN, held_out, identify, train
 from ledgerlens.llm.mixing import mix_sources
@@ -31,20 +31,24 @@ ORACLE_SQL = None      # language models, suffix order and SimHash have no SQL f
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     model = train(docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")))
     return identify(docs, model, prefix="_found_").where(F.col("_found_lang_pred") != UNKNOWN).select(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return keep_one(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     out = remove_repeats(docs)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return remove_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerlens.session import scratch_dir
 
 SHINGLE = 5              # words per shingle
-CHUNK_BYTES = 2 << 20    # text bytes handled by one vectorised pass
+CHUNK_BYTES = 1 << 19    # text bytes handled by one vectorised pass (some 40 bytes of arrays for each)
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15 | 1                  # odd, so it has an inverse mod 2^64
 _P_INV = pow(_P, -1, 1 << 64)
@@ -187,6 +187,15 @@ def drop_saved(*tables: DataFrame) -> None:
             p.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand Arrow batches of at most ``rows`` rows to Python: with whole texts in them the default of
+    10,000 rows costs each task some 100 MB on either side.  A smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -225,7 +225,7 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
                 c = set_print(s)
                 if c in seen:
                     continue
-                if len(seen) > 200_000:
+                if len(seen) > 50_000:
                     seen.clear()
                 seen.add(c)
                 short = short_list(s, order.value)
