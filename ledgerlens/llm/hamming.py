@@ -6,7 +6,7 @@ for every unfinished query, all values at exactly r bits from its own in every
 segment.  A code is taken where its first closest segment meets the query, so it
 comes up once in all.  After round r every code within
 ``segments * (r + 1) - 1`` bits has come up; a query ends when its kth distance lies
-within that.  Only the number of unfinished queries reaches the driver.
+within that.  Codes farther than a query's kth distance so far are dropped in the join.  Only the number of unfinished queries reaches the driver.
 
 Equal codes are one entry that keeps its ``k + 1`` smallest ids (no more can be
 among the k nearest of anything), so copies of a vector, however many, cost one.
@@ -28,27 +28,30 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import drop_saved, save
 
-WORD = 48        # bits kept in one long of a code
+WORD = 64        # bits kept in one long of a code
 
 
 def codes(df: DataFrame, id_col: str, vec_col: str, dims: int) -> DataFrame:
     """(id, code): the sign bits in longs of ``WORD`` bits."""
     words = []
     for a in range(0, dims, WORD):
-        bits = [f"case when get(v, {i}) > 0 then {1 << (i - a)}L else 0L end" for i in range(a, min(dims, a + WORD))]
-        words.append("(" + " + ".join(bits) + ")")
+        bits = [f"case when get(v, {i}) > 0 then shiftleft(1L, {i - a}) else 0L end"
+                for i in range(a, min(dims, a + WORD))]
+        words.append("(" + " | ".join(bits) + ")")
     return (df.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull())
             .select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
             .select("id", F.expr(f"array({', '.join(words)})").alias("code")))
 
 
-def segment_exprs(dims: int, bits: int) -> list[str]:
-    """One expression per segment of the code: the value of its bits; segments stay inside a long."""
+def segment_exprs(dims: int, bits: int) -> list[tuple[str, int]]:
+    """The value of each segment of the code and its number of bits; segments stay inside a long and are even."""
     out = []
     for w, a in enumerate(range(0, dims, WORD)):
         n = min(WORD, dims - a)
-        for s in range(0, n, bits):
-            out.append((f"(shiftright(get(code, {w}), {s}) & {(1 << min(bits, n - s)) - 1}L)", min(bits, n - s)))
+        parts = -(-n // bits)
+        cuts = [n * s // parts for s in range(parts + 1)]
+        out += [(f"(shiftrightunsigned(get(code, {w}), {x}) & {(1 << (z - x)) - 1}L)", z - x)
+                for x, z in zip(cuts, cuts[1:])]
     return out
 
 
@@ -74,7 +77,9 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     index = save(base.select("code", F.explode(F.array(*[
         F.struct(F.lit(s).alias("seg"), F.expr(e).alias("value")) for s, (e, _) in enumerate(parts)])).alias("x"))
         .select("x.seg", "x.value", "code"), "index")
-    open_q = save(asked.select("code").distinct().withColumnRenamed("code", "q"), "open")
+    # bound: distance beyond which a code is no use to the query any more
+    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    open_q = save(asked.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(WORD * n_words)), "open")
     best = None
     most = max(b for _, b in parts)
     for r in range(most + 1):
@@ -84,11 +89,12 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
                 masks = ", ".join(f"{sum(1 << i for i in c)}L" for c in combinations(range(width), r))
                 near.append(f"transform(array({masks}), m -> struct({s} as seg, "
                             f"({e.replace('code', 'q')} ^ m) as value))")
-        probes = open_q.select("q", F.explode(F.expr(f"flatten(array({', '.join(near)}))")).alias("x")).select("q", "x.seg", "x.value")
+        probes = open_q.repartition(n_tasks, "q").select("q", "bound", F.explode(F.expr(f"flatten(array({', '.join(near)}))")).alias("x")).select("q", "bound", "x.seg", "x.value")
         far = [f"bit_count({e.replace('code', 'q')} ^ {e})" for e, _ in parts]
         first = F.expr("case " + " ".join(
             f"when {d} = least({', '.join(far)}, 999) then {s}" for s, d in enumerate(far)) + " end")
-        met = (probes.join(index, ["seg", "value"]).where(first == F.col("seg"))
+        met = (probes.join(index, ["seg", "value"])
+               .where((first == F.col("seg")) & (F.expr(distance("q", "code", n_words)) <= F.col("bound")))
                .select("q", "code", F.expr(distance("q", "code", n_words)).alias("distance")))
         # k + 1 codes hold k rows besides the query itself
         ranked = Window.partitionBy("q").orderBy("distance", F.element_at("ids", 1)["id"])
@@ -104,7 +110,10 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
         best = top
         sure = len(parts) * (r + 1) - 1
         kth = best.groupBy("q").agg(F.sum(F.size("ids")).alias("have"), F.max("distance").alias("kth"))
-        still = save(open_q.join(kth.where((F.col("have") >= k + 1) & (F.col("kth") <= sure)), "q", "left_anti"), "open")
+        full = F.col("have") >= k + 1
+        still = save(open_q.select("q").join(kth, "q", "left")
+                     .where(~F.coalesce(full & (F.col("kth") <= sure), F.lit(False)))
+                     .select("q", F.when(full, F.col("kth")).otherwise(F.lit(WORD * n_words)).alias("bound")), "open")
         drop_saved(open_q)
         open_q = still
         if r == most or not open_q.limit(1).count():
