@@ -126,3 +126,20 @@ def test_planted_feature_ranks_first_and_missing_flags_enter(spark):
     abl = {r["group"]: r for r in ML.group_ablation(
         df, {"none": [], "noise": ["noise"]}, fit=lambda t, f: ML.fit_rf(t, f, n_trees=5, max_depth=3)).collect()}
     assert abl["none"]["n_cols"] == 0 and abl["none"]["roc_auc"] is None and abl["noise"]["n_cols"] == 1
+
+
+def test_registered_boosting_is_the_whole_search(spark, sf, monkeypatch):
+    """30 draws, 4 folds, a round limit far above where early stopping ends."""
+    from ledgerlens.plans import catalog as C
+    asked = {}
+    monkeypatch.setattr(C, "_train_valid", lambda spark, sf: (None, None))
+    monkeypatch.setattr(C, "finish", lambda df: df)
+    monkeypatch.setattr(C, "v3_split", lambda spark, sf: spark.createDataFrame([(True,)], "is_valid boolean"))
+    monkeypatch.setattr(C.ML, "feature_columns", lambda df: [])
+    monkeypatch.setattr(C.ML, "evaluate_model", lambda *a: None)
+    monkeypatch.setattr(C.ML, "fit_gbt", lambda *a, **how: asked.update(gbt=how))
+    monkeypatch.setattr(C.ML, "random_search_cv", lambda df, **how: asked.update(search=how))
+    C.REGISTRY["fit_gbt"](spark, sf)
+    C.REGISTRY["random_search_cv"](spark, sf)
+    assert asked["search"] == {"n_iter": 30, "n_folds": 4, "max_iter": 5000}
+    assert asked["gbt"]["max_iter"] == 5000 and asked["gbt"]["valid_col"] == "is_valid"
