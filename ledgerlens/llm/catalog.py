@@ -14,6 +14,22 @@ ORACLES: dict[str, str] = {}
 WORDS_SQL = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
 
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CRC_TABLE_SQL = """
+tab AS (SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+                          CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS i)))"""
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of a string's UTF-8 bytes, over the column ``tab`` of CRC_TABLE_SQL."""
+    data = (f"list_transform(range(octet_length(encode({text}))), lambda i: "
+            f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))")
+    return (f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {data}), "
+            f"lambda c, b: xor(tab[xor(c & 255, b) + 1], c >> 8)))")
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,3 +178,90 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
     return run(spark, sf_dir)
+
+
+@query("op11_importance_resample", rf"""
+WITH {CRC_TABLE_SQL.strip()},
+d AS (SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (SELECT regexp_extract_all({LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+dw AS (SELECT r, w, count(*) AS c FROM (SELECT r, unnest(words) AS w FROM d) GROUP BY r, w),
+bw AS (SELECT w, count(*) AS c FROM (SELECT unnest(words) AS w FROM b) GROUP BY w),
+v AS (SELECT w, {crc_sql('w')} % 10000 AS k FROM (SELECT DISTINCT w FROM dw UNION SELECT w FROM bw), tab),
+s AS (SELECT k, sum(c) AS s FROM dw JOIN v USING (w) GROUP BY k),
+t AS (SELECT k, sum(c) AS t FROM bw JOIN v USING (w) GROUP BY k),
+n AS (SELECT CAST(coalesce((SELECT sum(s) FROM s), 0) AS DOUBLE) AS all_s, CAST(coalesce((SELECT sum(t) FROM t), 0) AS DOUBLE) AS all_t),
+g AS (SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)
+                                     / ((s + 1)::DOUBLE * (all_t + 10000)))) AS BIGINT) AS gain
+      FROM s LEFT JOIN t USING (k), n),
+f AS (SELECT r, sum(c * gain) AS total FROM dw JOIN v USING (w) JOIN g USING (k) GROUP BY r),
+x AS (SELECT r, doc_id, CAST(len(words) AS BIGINT) AS n_features,
+             CAST(CASE WHEN len(words) > 0 THEN (total - ((total % len(words)) + len(words)) % len(words)) // len(words)
+                  ELSE 0 END AS BIGINT) AS weight,
+             CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+      FROM d LEFT JOIN f USING (r)),
+y AS (SELECT r, doc_id, n_features, weight,
+             weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM x),
+z AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank, count(*) OVER () AS n
+      FROM y WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= n * 10 // 100 THEN rank END AS rank FROM y LEFT JOIN z USING (r)
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.resample import resample
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op12_merkle_manifest", rf"""
+WITH RECURSIVE {CRC_TABLE_SQL.strip()},
+d AS (SELECT row_number() OVER () AS r, *, doc_id IS NOT NULL AND {crc_sql('CAST(doc_id AS VARCHAR)')} % 3 = 0 AS bad,
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+      FROM documents, tab),
+e AS (SELECT r, doc_id, lang, bad, concat({', '.join("coalesce(octet_length(encode(CAST(%s AS VARCHAR))) || ':' || CAST(%s AS VARCHAR), '-')" % (c, c) for c in ('doc_id', 'source', 'lang', 'n_chars'))}) AS head,
+             coalesce(octet_length(encode(text)) || ':' || text, '-') AS body,
+             coalesce(octet_length(encode(low)) || ':' || low, '-') AS other FROM d),
+l AS (SELECT r, doc_id, lang, sha256(head || body) AS leaf, sha256(head || CASE WHEN bad THEN other ELSE body END) AS shown FROM e),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, shown, r) - 1 AS pos FROM l),
+low_tree(lang, level, nodes) AS (
+    SELECT lang, 0, list(leaf ORDER BY pos) FROM p GROUP BY lang
+    UNION ALL
+    SELECT lang, level + 1, list_transform(range((len(nodes) + 7) // 8),
+                                           lambda i: sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], '')))
+    FROM low_tree WHERE len(nodes) > 1),
+subs AS (SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+         FROM low_tree WHERE len(nodes) = 1),
+top_tree(level, nodes) AS (
+    SELECT 0, list(subroot ORDER BY place) FROM subs HAVING count(*) > 0
+    UNION ALL
+    SELECT level + 1, list_transform(range((len(nodes) + 7) // 8),
+                                     lambda i: sha256(array_to_string(nodes[8 * i + 1:8 * i + 8], '')))
+    FROM top_tree WHERE len(nodes) > 1),
+steps AS (
+    SELECT p.r, t.level AS step, t.nodes[8 * (pos // 8 ** t.level // 8) + 1:pos // 8 ** t.level] AS before,
+           t.nodes[pos // 8 ** t.level + 2:8 * (pos // 8 ** t.level // 8) + 8] AS after
+    FROM (SELECT r, lang, CAST(pos AS BIGINT) AS pos FROM p) p JOIN (SELECT lang, level, nodes FROM low_tree WHERE len(nodes) > 1) t
+      ON p.lang IS NOT DISTINCT FROM t.lang
+    UNION ALL
+    SELECT p.r, 1000 + t.level, t.nodes[8 * (place // 8 ** t.level // 8) + 1:place // 8 ** t.level],
+           t.nodes[place // 8 ** t.level + 2:8 * (place // 8 ** t.level // 8) + 8]
+    FROM p JOIN subs ON p.lang IS NOT DISTINCT FROM subs.lang, (SELECT level, nodes FROM top_tree WHERE len(nodes) > 1) t),
+paths AS (SELECT r, list(array_to_string(before, '') || '|' || array_to_string(after, '') ORDER BY step) AS path FROM steps GROUP BY r),
+f AS (SELECT p.r, p.doc_id, p.lang, p.leaf, coalesce(path, []::VARCHAR[]) AS path,
+             list_reduce(list_prepend(shown, coalesce(path, []::VARCHAR[])), lambda a, x:
+                         sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root
+      FROM p LEFT JOIN paths USING (r))
+SELECT f.doc_id, f.leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM f JOIN subs ON f.lang IS NOT DISTINCT FROM subs.lang, (SELECT nodes[1] AS root FROM top_tree WHERE len(nodes) = 1)
+""".replace("8 ** t.level", "CAST(8 ** t.level AS BIGINT)"))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.merkle import build, leaf_digest, prove
+    text = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    shown = F.when(tampered, leaf_digest(changed={"text": text})).otherwise(leaf_digest())
+    return prove(build(read(spark, sf_dir, "documents"), presented=shown))
+
+
+@query("op13_quality_classifier")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerlens.llm.quality import classify
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -9,7 +9,7 @@ Nothing here depends on the number of rows a task reads.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,8 +69,17 @@ class PrefixHash:
         self._sum = np.zeros(len(buf) + 1, dtype=_U)
         np.cumsum((_BYTE_LOWER if lower else _BYTE)[buf] * pw[:-1], out=self._sum[1:])
 
+    def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Before mixing: raw(xy) = raw(x) + P^len(x) raw(y)."""
+        return (self._sum[end] - self._sum[start]) * self._inv[start]
+
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self._sum[end] - self._sum[start]) * self._inv[start] + (end - start).astype(_U))
+        return mix64(self.raw(start, end) + (end - start).astype(_U))
+
+
+def joined_raw(raw_x: int, len_x: int, raw_y: int) -> int:
+    """``PrefixHash.raw`` of x followed by y."""
+    return (raw_x + pow(_P, len_x, 1 << 64) * raw_y) % (1 << 64)
 
 
 def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -100,9 +109,32 @@ def chunks(col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         i = j
 
 
-def word_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pieces(col: pa.Array, gap: np.ndarray = IS_SPACE) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
+    """Like ``chunks`` with texts beyond ``CHUNK_BYTES`` cut at gap bytes: (first row, bytes, offsets, goes on).
+
+    A cut is made at the first gap byte after ``CHUNK_BYTES``, so words stay whole;
+    "goes on" says that the next piece continues this one's only text.
+    """
+    for i, j, buf, off in chunks(col):
+        at = 0
+        while j == i + 1 and len(buf) - at > CHUNK_BYTES:
+            end = at + CHUNK_BYTES
+            while end < len(buf):
+                hit = np.flatnonzero(gap[buf[end:end + CHUNK_BYTES]])
+                if len(hit):
+                    end += int(hit[0])
+                    break
+                end = min(end + CHUNK_BYTES, len(buf))
+            yield i, buf[at:end], np.array([0, end - at]), end < len(buf)
+            at = end
+        if at < len(buf) or at == 0:
+            yield i, buf[at:], off if at == 0 else np.array([0, len(buf) - at]), False
+
+
+def word_bounds(buf: np.ndarray, off: np.ndarray,
+                gap: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word starts, word ends, and per text the index of its first word (n + 1 entries)."""
-    inside = ~IS_SPACE[buf]
+    inside = ~gap[buf]
     starts = inside.copy()
     ends = np.empty(len(buf), dtype=bool)
     if len(buf):
@@ -200,11 +232,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge list: (node, component), component = smallest node.
 
