@@ -32,7 +32,8 @@ from ledgerlens.plans.features import WHY, features_base, features_v1, features_
 from ledgerlens.session import materialize, scratch_dir
 from ledgerlens.sources import fixtures as FX
 from ledgerlens.sources import io as IO
-from ledgerlens.streaming.incremental import incremental_assembly, row_fn
+from ledgerlens.streaming.assembly import assemble_stream, read_assembled
+from ledgerlens.streaming.incremental import row_fn
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: Dict[str, Query] = {}
@@ -131,10 +132,12 @@ def scan_sample_head(spark, sf):
                                       ["o_orderkey", "o_custkey", "o_totalprice"]))
 
 
-def write_shards(spark, sf, drop_upper: bool = True) -> str:
+def write_shards(spark, sf, drop_upper: bool = True, one_file: bool = False) -> str:
     """Product rows as 12 shard folders (o_orderkey % 12); shards 6..11 lack one column."""
     root = run_path(spark, "shards")
     rows = cp(spark, sf).withColumn("shard", (F.col("o_orderkey") % 12).cast("int"))
+    if one_file:
+        rows = rows.repartition("shard")
     lo, hi = rows.filter(F.col("shard") < 6), rows.filter(F.col("shard") >= 6)
     if drop_upper:
         hi = hi.drop("pre_loans_next_pay_summ")
@@ -572,6 +575,12 @@ def features_v2_q(spark, sf):
     return finish(features_v2(latest_m(spark, sf)))
 
 
+@q("features_v2_windows")
+def features_v2_windows(spark, sf):
+    """Windows without 6: momentum makes that share, and the flags and interactions that read it stay."""
+    return finish(features_v2(latest_m(spark, sf), FeatureConfigExtendedV2(windows=(3, 12, 24))))
+
+
 @q("dataset_v1")
 def dataset_v1(spark, sf):
     return finish(v1(spark, sf))
@@ -746,12 +755,14 @@ def model_persist(spark, sf):
 # ================================================================ 2.10 streaming / UDF surface
 @q("incremental_assembly")
 def incremental_assembly_q(spark, sf):
-    shards = write_shards(spark, sf, drop_upper=False)
-    schema = spark.read.parquet(shards).schema
-    out = run_path(spark, "latest_versions")
-    last = incremental_assembly(spark, shards, out, run_path(spark, "stream_ckpt"), schema, tiebreak=TIE,
-                                files_per_trigger=16)
-    return spark.read.parquet(last).select("id", "rn", "o_orderkey")
+    """Twelve shard files in micro-batches of four -> dataset_v1 with the loop's counters."""
+    shards = write_shards(spark, sf, drop_upper=False, one_file=True)
+    schema = spark.read.parquet(shards).drop("shard").schema
+    out = run_path(spark, "assembled")
+    done = assemble_stream(spark, shards, out, run_path(spark, "stream_ckpt"), schema, materialize(labels(spark, sf)),
+                           tiebreak=TIE)
+    return finish(read_assembled(spark, out, done)).withColumns(
+        {n: F.lit(getattr(done, n)).cast("long") for n in ("written", "matched", "batches")})
 
 
 def _util_pd(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -9,11 +9,7 @@ stage.
 from __future__ import annotations
 
 import json
-import math
-import os
-import random
 import re
-import uuid
 from typing import Dict, List, Optional, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -30,6 +26,8 @@ from ledgerlens.operators.metrics import evaluate_binary, roc_auc_by
 from ledgerlens.operators.profile import numeric_cols
 from ledgerlens.operators.quantiles import quantile_table
 from ledgerlens.operators.sampling import balanced_weights, row_hash_key, stratified_split, unit_hash
+from ledgerlens.plans.boosting import fit_with_patience
+from ledgerlens.plans.search import ROWS_A_TASK, random_search_cv, refit_best  # noqa: F401
 from ledgerlens.session import materialize
 
 KEY_COLS = ("id", "rn")
@@ -185,23 +183,30 @@ def fit_rf(train: DataFrame, feats: Optional[Sequence[str]] = None, n_trees: int
 
 def fit_gbt(train: DataFrame, feats: Optional[Sequence[str]] = None, max_iter: int = 100,
             step: float = 0.03, max_depth: int = 8, subsample: float = 0.9, colsample: float = 0.8,
-            valid_col: Optional[str] = None, seed: int = 42, valid_tol: float = 1e-5,
-            min_child: int = 5) -> PipelineModel:
-    """Boosted trees; ``valid_col`` (a boolean column) enables early stopping on those rows.
+            valid_col: Optional[str] = None, seed: int = 42, min_child: int = 5, patience: int = 200) -> PipelineModel:
+    """Boosted trees; ``valid_col`` (a boolean column) marks rows for early stopping.
 
-    Medians and missing flags are fitted on the other rows alone.
-
-    Spark stops when the validation loss improves by less than ``valid_tol``
-    (relative); the default 0.01 would stop small learning rates after one tree.
+    Medians, missing flags and trees are fitted on the other rows alone.  The model
+    ends at the round with the best ROC-AUC on the marked rows, found when
+    ``patience`` further rounds bring no better one (``boosting.fit_with_patience``).
     """
     feats = list(feats or feature_columns(train))
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, stepSize=step,
-                        maxDepth=max_depth, subsamplingRate=subsample,
-                        featureSubsetStrategy=str(colsample), seed=seed, validationTol=valid_tol,
-                        minInstancesPerNode=min_child)
-    if valid_col:
-        gbt.setValidationIndicatorCol(valid_col)
-    return _fit(train, gbt, feats, scale=False, weights=False, flags=True, valid_col=valid_col)
+
+    def booster(rounds: int) -> GBTClassifier:
+        return GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, stepSize=step,
+                             maxDepth=max_depth, subsamplingRate=subsample, featureSubsetStrategy=str(colsample),
+                             seed=seed, minInstancesPerNode=min_child)
+    if not valid_col:
+        return _fit(train, booster(max_iter), feats, scale=False, weights=False, flags=True)
+    label = label_column(train)
+    data = train.filter(F.col(label).isNotNull()).withColumn("label", F.col(label).cast("double"))
+    prepared = Pipeline(stages=prepare_stages(data.filter(~F.col(valid_col)), feats, scale=False, flags=True)).fit(data)
+    keys = [k for k in KEY_COLS if k in train.columns]
+    vectors = prepared.transform(data).select(*keys, "label", F.col(valid_col).alias("_valid"), "features")
+    # few large tasks in one order: a boosting round is a job per tree level, and a longer fit repeats a shorter one
+    vectors = materialize(vectors.repartition(max(1, -(-data.count() // ROWS_A_TASK)), *keys).sortWithinPartitions(*keys))
+    model, _ = fit_with_patience(booster, vectors.filter(~F.col("_valid")), vectors.filter("_valid"), max_iter, patience)
+    return PipelineModel(stages=[*prepared.stages, model])
 
 
 # ------------------------------------------------------------------ scoring
@@ -340,52 +345,6 @@ def stratified_folds(df: DataFrame, n_folds: int, seed: int = 42, out: str = "fo
     return placed.withColumn(out, F.pmod("pos", F.lit(n_folds)).cast("int")).drop("_u", "_h", "pos")
 
 
-def random_search_cv(df: DataFrame, n_iter: int = 30, n_folds: int = 4, seed: int = 42,
-                     space: Optional[Dict[str, list]] = None, max_iter: int = 50) -> DataFrame:
-    """Random parameter draws scored by stratified k-fold mean ROC-AUC.
-
-    Folds are stratified by class (``stratified_folds``) and written once.  Each fold's model trains on the other folds
-    and early-stops on its own fold (``validationIndicatorCol``); the rounds it
-    kept are averaged per draw and ``final_rounds = ceil(mean rounds * 1.1)``
-    is the size for a final fit on all rows.
-    """
-    rng = random.Random(seed)
-    space = space or {"max_depth": [3, 4, 5, 6, 8], "step": [0.03, 0.05, 0.1],
-                      "subsample": [0.7, 0.8, 0.9, 1.0], "colsample": [0.6, 0.8, 1.0],
-                      "min_child": [1, 5, 10, 20]}
-    folded = materialize(stratified_folds(df, n_folds, seed))
-    feats = feature_columns(df, exclude=("o_orderkey", "rn_dup", "fold", "_val"))
-    spark = df.sparkSession
-    rows = []
-    for i in range(n_iter):
-        p = {k: rng.choice(v) for k, v in space.items()}
-        aucs, rounds = [], []
-        for f in range(n_folds):
-            fd = folded.withColumn("_val", F.col("fold") == f).drop("fold")
-            m = fit_gbt(fd, feats, max_iter=max_iter, step=p["step"], max_depth=p["max_depth"],
-                        subsample=p["subsample"], colsample=p["colsample"], min_child=p.get("min_child", 5),
-                        valid_col="_val", seed=seed)
-            rounds.append(m.stages[-1].getNumTrees)
-            aucs.append(evaluate_model(m, fd.filter(F.col("_val")).drop("_val")).first()["roc_auc"])
-        mean_rounds = sum(rounds) / len(rounds)
-        rows.append((i, json.dumps(p, sort_keys=True), sum(aucs) / len(aucs), float(mean_rounds),
-                     int(math.ceil(mean_rounds * 1.1))))
-    return spark.createDataFrame(rows, "draw int, params string, cv_auc double, best_rounds double, "
-                                       "final_rounds int").orderBy(F.desc("cv_auc"), "draw")
-
-
-def refit_best(df: DataFrame, search: DataFrame, seed: int = 42) -> PipelineModel:
-    """Final boosted model on all labelled rows with the best draw's parameters
-    and its ``final_rounds`` (mean early-stopped rounds x 1.1)."""
-    best = search.orderBy(F.desc("cv_auc"), "draw").first()
-    p = json.loads(best["params"])
-    label = label_column(df)
-    lab = df.filter(F.col(label).isNotNull())
-    feats = feature_columns(lab, exclude=("o_orderkey", "rn_dup", "fold", "_val"))
-    return fit_gbt(lab, feats, max_iter=int(best["final_rounds"]), step=p["step"], max_depth=p["max_depth"],
-                   subsample=p["subsample"], colsample=p["colsample"], min_child=p.get("min_child", 5), seed=seed)
-
-
 # ------------------------------------------------------------------ persistence / batch job
 def model_persist(model: PipelineModel, path: str, metadata: Optional[dict] = None) -> str:
     model.write().overwrite().save(path)
@@ -413,6 +372,3 @@ def inference_job(spark: SparkSession, input_path: str, output_path: str, model_
     model = load_model(model_path)
     return sink_csv(predict_batch(model, df, proba, id_cols), output_path)
 
-
-def run_dir(base: str, name: str) -> str:
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -77,3 +77,9 @@ def materialize(df):
     path = scratch_dir(spark, f"mat-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file, in whatever store it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -379,6 +379,8 @@ reg("paym_transitions", W(CP, "v2_b AS (SELECT *, " + ", ".join(
 reg("features_base", W(LATEST, base_cte()) + finish("base", CP_COLS + ["paym_last_status", "paym_last_clean_streak"]))
 reg("features_v1", W(LATEST, v1_feature_ctes("latest")) + finish("f1", CP_COLS + V1_NAMES))
 reg("features_v2", W(LATEST, v2_ctes("latest")) + finish("v2", CP_COLS + V2_NAMES))
+_NO_6 = {"paym_ok_share_6", "paym_ok_share_delta_6_12", "paym_transitions_6", "paym_late_std_6", "paym_any_late_6"}
+reg("features_v2_windows", W(LATEST, v2_ctes("latest")) + finish("v2", CP_COLS + [c for c in V2_NAMES if c not in _NO_6]))
 reg("dataset_v1", W(V1D) + finish("v1", _V1D_COLS))
 _V1S = ("f1s AS (SELECT * REPLACE (COALESCE(paym_last_late_recency, CAST(25 AS FLOAT)) AS paym_last_late_recency, "
         "COALESCE(paym_last_ok_recency, CAST(25 AS FLOAT)) AS paym_last_ok_recency) FROM f1)")
@@ -426,7 +428,10 @@ SELECT {rnd('MAX(thr) FILTER (WHERE jj = (SELECT MAX(jj) FROM j))', 'youden_thre
 reg("evaluate_binary", EVAL)
 
 # ---------------------------------------------------------------- 2.10
-reg("incremental_assembly", W(LATEST) + "SELECT id, rn, o_orderkey FROM latest")
+reg("incremental_assembly", W(V1D) + finish(
+    "(SELECT *, (SELECT COUNT(*) FROM v1) AS written, (SELECT COUNT(target) FROM v1) AS matched, "
+    "(SELECT (COUNT(DISTINCT o_orderkey % 12) + 3) // 4 FROM credit_products) AS batches FROM v1)",
+    _V1D_COLS + ["written", "matched", "batches"]))
 reg("row_fn", W(CP) + "SELECT id, rn, " + rnd("CAST(pre_loans_outstanding AS DOUBLE) / pre_loans_credit_limit",
                                                 "util_pd") + " FROM credit_products")
 
