@@ -19,9 +19,11 @@ order decides the cost, never a result.
 2. seed: every class is tried against the most central class it meets on its lists,
    and the verified links are contracted to components, so a large group of near
    copies hangs together without listing its pairs;
-3. merge: short lists that still hold several components are merged with a heap,
-   per querying class and block of partners, for partners of other components that
-   occur at least h times and have a fitting size;
+3. merge: on short lists that still hold several components a class first meets
+   the other components, then, where the first shared shingle of a link can lie at
+   their places, the members of the smaller one; the lists of such pairs are merged with a
+   heap for partners that occur often enough.  One class per two components asks
+   first, and what links is contracted before all others ask;
 4. probe: candidates are verified by binary probing of the sorted set, long lists
    included; what reaches the overlap links.
 
@@ -37,6 +39,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -48,7 +51,7 @@ from ledgerlens.llm.common import chunks, components, drop_saved, mix64, save, s
 
 LEAST_HITS, HIT_SHARE = 3, 12     # h = LEAST_HITS + T // HIT_SHARE occurrences are asked for on the short lists
 ORDER_ROWS = 1 << 17     # entries of the broadcast order table, 12 bytes each
-BLOCK_ROWS = 1 << 18     # postings merged at a time
+BLOCK_PAIRS = 4096       # partners of one class whose lists are merged at a time
 
 
 def doc_sets(col: pa.Array):
@@ -159,6 +162,15 @@ def pair_hits(n: int, m: int) -> int:
     return min(shared - needed(n) + hits(n), shared - needed(m) + hits(m))
 
 
+def first_cap(n: int, place: np.ndarray) -> np.ndarray:
+    """Largest size of a partner whose first shared shingle is the one at ``place`` of a set of n.
+
+    Sets of n and m share at least O = 4 (n + m) / 9 shingles if they link, so the first
+    of them in the order of lists has at most n - O before it: 4 m <= 5 n - 9 place.
+    """
+    return ((5 * n - 9 * place) // 4).astype(np.int32)
+
+
 def _merge(batches):
     """Rows (q, block, nq, token, c, nc) sorted by q, block, token, c -> candidate pairs."""
     for (q, _), (nq, token, c, nc) in runs(batches, 2):
@@ -218,7 +230,7 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
     def postings(batches):
         seen: set[int] = set()                   # classes this task has handed out (copies mostly lie together)
         for b in batches:
-            tokens, cls, size = [], [], []
+            tokens, cls, size, cap = [], [], [], []
             for _, s in doc_sets(b.column(1)):
                 if not len(s):
                     continue
@@ -232,17 +244,18 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
                 tokens.append(signed(short))
                 cls.append(np.full(len(short), c, dtype=np.int64))
                 size.append(np.full(len(short), len(s), dtype=np.int32))
+                cap.append(first_cap(len(s), np.arange(len(short))))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, cls, size)],
-                                                 names=["token", "cls", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, cls, size, cap)],
+                                                 names=["token", "cls", "n", "cap"])
 
     t = F.floor((F.col("n") * 4 + 4) / 5)
     asked = F.least(t, F.lit(LEAST_HITS) + F.floor(t / HIT_SHARE))
     # a token's list ends where another begins, so one exchange serves both steps; only counts are kept per token
-    once = (src.mapInArrow(postings, "token long, cls long, n int").repartition(n_tasks, "token")
-            .groupBy("token", "cls").agg(F.first("n").alias("n")))
+    once = (src.mapInArrow(postings, "token long, cls long, n int, cap int").repartition(n_tasks, "token")
+            .groupBy("token", "cls").agg(F.first("n").alias("n"), F.first("cap").alias("cap")))
     several = save(once.withColumn("df", F.count("*").over(Window.partitionBy("token")))
-                   .where("df > 1").select("token", "cls", "n"), "postings")
+                   .where("df > 1").select("token", "cls", "n", "cap"), "postings")
     met = (several.groupBy("cls", "n").agg(F.count("*").alias("met")).where(F.col("met") >= asked)
            .withColumn("central", F.col("met") / F.col("n")))
     met = save(met, "met")
@@ -275,22 +288,75 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
 
     # merge: what other components occur on the short lists
     placed = save(post.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-                  .select("token", "cls", "n", F.coalesce("component", "cls").alias("comp")), "placed")
-    mixed = (placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("df"))
-             .where("lo <> hi").select("token", "df"))
-    open_lists = save(placed.join(mixed, "token"), "open")
-    drop_saved(placed, post)
-    load = (open_lists.groupBy("cls").agg((F.floor(F.sum("df") / BLOCK_ROWS) + 1).cast("int").alias("blocks")))
-    q = open_lists.join(load, "cls").select("token", F.col("cls").alias("q"), F.col("n").alias("nq"),
-                                            F.col("comp").alias("cq"), "blocks")
-    c = open_lists.select("token", F.col("cls").alias("c"), F.col("n").alias("nc"), F.col("comp").alias("cc"))
-    rows = (q.join(c, "token").where((F.col("q") < F.col("c")) & (F.col("cq") != F.col("cc")) & _fits("nq", "nc"))
-            .select("q", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int").alias("block"), "nq", "token", "c", "nc"))
-    pairs = (rows.repartition(n_tasks, "q", "block").sortWithinPartitions("q", "block", "token", "c")
-             .mapInArrow(_merge, "a long, b long"))
-    cross = save(verify(save(pairs, "pairs"), sets), "cross")
-    drop_saved(open_lists, sets, comp)
-    return seed.unionByName(cross)
+                  .select("token", "cls", "n", "cap", F.coalesce("component", "cls").alias("comp")), "placed")
+    drop_saved(post, comp)
+    found, tried = [seed], None
+    for best_only in (True, False):
+        lists = save(_open_lists(placed), "open")
+        drop_saved(placed)
+        pairs = _partners(lists, best_only)
+        if tried is not None:
+            pairs = pairs.join(tried, ["q", "c"], "left_anti")
+        tried = save(pairs, "pairs")
+        cross = save(verify(save(_merged(tried, lists, n_tasks), "merged"), sets), "cross")
+        found.append(cross)
+        if best_only:                       # contract what linked; only the rest is tried member by member
+            at = lists.select("cls", "comp").distinct()
+            joined = (cross.join(at.select(F.col("cls").alias("a"), F.col("comp").alias("u")), "a")
+                      .join(at.select(F.col("cls").alias("b"), F.col("comp").alias("v")), "b").select("u", "v").distinct())
+            again = components(joined, "u", "v").select(F.col("node").alias("comp"), "component")
+            placed = save(lists.join(again, "comp", "left").select(
+                "token", "cls", "n", "cap", F.coalesce("component", "comp").alias("comp")), "placed")
+            drop_saved(lists)
+    drop_saved(lists, sets)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _open_lists(placed: DataFrame) -> DataFrame:
+    """Lists that hold several components, with ``w``, the number of classes of a posting's component on them."""
+    several = (placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+               .select("token"))
+    lists = placed.join(several, "token", "left_semi")
+    return lists.join(lists.select("comp", "cls").distinct().groupBy("comp").agg(F.count("*").alias("w")), "comp")
+
+
+def _partners(lists: DataFrame, best_only: bool) -> DataFrame:
+    """Distinct pairs (q, c) of classes of different components that can link.
+
+    Every list is first joined with the components on it, not with their classes,
+    and the first shared shingle of a link must lie there (``first_cap``).  A class is
+    asked about components of at most its own component's size, so the components
+    that are then joined member by member are the smaller ones.  ``best_only``: of every two
+    components only the class that meets the other one most often asks.
+    """
+    comps = lists.groupBy("token", F.col("comp").alias("cc"), F.col("w").alias("wc")).agg(
+        F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("cap").alias("kc"))
+    asks = lists.select("token", F.col("cls").alias("q"), F.col("n").alias("nq"), F.col("cap").alias("kq"),
+                        F.col("comp").alias("cq"), F.col("w").alias("wq"))
+    met = asks.join(comps, "token").where(
+        ((F.col("wc") < F.col("wq")) | ((F.col("wc") == F.col("wq")) & (F.col("cc") < F.col("cq"))))
+        & (F.col("nq") <= F.col("kc")) & (F.col("n0") <= F.col("kq"))
+        & (F.col("n0") * 4 <= F.col("nq") * 5) & (F.col("nq") * 4 <= F.col("n1") * 5)).drop("wq", "wc", "kc", "n0", "n1")
+    if best_only:
+        met = save(met, "met")
+        one = (met.groupBy("cq", "cc", "q").agg(F.count("*").alias("k"))
+               .groupBy("cq", "cc").agg(F.max_by("q", F.struct("k", "q")).alias("q")))
+        met = met.join(one, ["cq", "cc", "q"], "left_semi")
+    members = lists.select("token", F.col("comp").alias("cc"), F.col("cls").alias("c"), F.col("n").alias("nc"), F.col("cap").alias("kc"))
+    return (met.join(members, ["token", "cc"])
+            .where((F.col("nq") <= F.col("kc")) & (F.col("nc") <= F.col("kq")) & _fits("nq", "nc"))
+            .select("q", "c").distinct())
+
+
+def _merged(pairs: DataFrame, lists: DataFrame, n_tasks: int) -> DataFrame:
+    """The pairs whose classes meet often enough on the short lists: heap merge per querying class."""
+    load = pairs.groupBy("q").agg((F.floor(F.count("*") / BLOCK_PAIRS) + 1).cast("int").alias("blocks"))
+    dealt = pairs.join(load, "q").select("q", "c", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int").alias("block"))
+    rows = (dealt.join(lists.select(F.col("cls").alias("q"), "token", F.col("n").alias("nq")), "q")
+            .join(lists.select(F.col("cls").alias("c"), "token", F.col("n").alias("nc")), ["c", "token"])
+            .select("q", "block", "nq", "token", "c", "nc"))
+    return (rows.repartition(n_tasks, "q", "block").sortWithinPartitions("q", "block", "token", "c")
+            .mapInArrow(_merge, "a long, b long"))
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
