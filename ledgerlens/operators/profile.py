@@ -7,6 +7,7 @@ counts go through ``groupBy`` so no column's values are ever buffered whole.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, List, Optional, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -33,19 +34,6 @@ def _clean(df: DataFrame, c: str) -> F.Column:
     return F.col(c)
 
 
-def safe_corr(a, b) -> F.Column:
-    """Pearson r over rows where both are non-NULL; NULL (not an error) for a constant side.
-
-    ``corr`` divides by zero under ANSI mode when a side has zero variance, so r
-    is built from the stable moment aggregates and ``try_divide``.
-    """
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def numeric_cols(df: DataFrame, exclude: Iterable[str] = ()) -> List[str]:
     ex = set(exclude)
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in ex]
@@ -66,18 +54,27 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) ->
         arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("bigint").alias("n_unique"))
                         for c in cols])
         return row.select(F.explode(arr).alias("x")).select("x.*")
-    lv = long_values(df, cols).distinct()
-    return lv.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    by_type: dict[str, list[str]] = {}
+    for c in cols:
+        by_type.setdefault(dict(df.dtypes)[c], []).append(c)
+    # values keep their types: columns of one type are counted together, duplicates go before the shuffle
+    parts = [df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _clean(df, c).alias("value")) for c in same])).alias("kv"))
+             .select("kv.column", "kv.value").distinct().groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+             for same in by_type.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def null_rates(df: DataFrame) -> DataFrame:
+    """(n_rows, column, null_rate) of every column, one aggregate."""
+    row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(_is_missing(df, c).cast("double")).alias(c) for c in df.columns])
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("null_rate")) for c in df.columns])
+    return row.select(F.col("_n").alias("n_rows"), F.explode(arr).alias("x")).select("n_rows", "x.column", "x.null_rate")
 
 
 def prof_basic(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Per column: dtype, rows, null rate and distinct count (NULL counted once)."""
     cols = df.columns
-    n_rows = F.count(F.lit(1))
-    row = df.agg(n_rows.alias("_n"), *[F.avg(_is_missing(df, c).cast("double")).alias(c) for c in cols])
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("null_rate")) for c in cols])
-    nulls = row.select(F.col("_n").alias("n_rows"), F.explode(arr).alias("x")).select(
-        "n_rows", "x.column", "x.null_rate")
+    nulls = null_rates(df)
     types = df.sparkSession.createDataFrame([(c, t) for c, t in df.dtypes], "column string, dtype string")
     nun = distinct_counts(df, cols, approx_distinct)
     return (types.join(nulls, "column").join(nun, "column", "left")
@@ -86,8 +83,8 @@ def prof_basic(df: DataFrame, approx_distinct: bool = False) -> DataFrame:
 
 
 def prof_missing_top(df: DataFrame, k: int = 25) -> DataFrame:
-    """Top-k missing rates (ties by column name)."""
-    return prof_basic(df).select("column", "null_rate").orderBy(F.desc("null_rate"), "column").limit(k)
+    """Top-k missing rates (ties by column name); one aggregate, no distinct counts."""
+    return null_rates(df).select("column", "null_rate").orderBy(F.desc("null_rate"), "column").limit(k)
 
 
 def prof_numeric(df: DataFrame, cols: Optional[Sequence[str]] = None,

@@ -23,6 +23,7 @@ from ledgerlens.functions import sequence as S
 from ledgerlens.operators import assemble as A
 from ledgerlens.operators import metrics as M
 from ledgerlens.operators import profile as P
+from ledgerlens.operators import profile_store as PS
 from ledgerlens.operators import sampling as SM
 from ledgerlens.operators import schema as SC
 from ledgerlens.operators.quantiles import percentile_caps
@@ -328,6 +329,15 @@ def prof_basic(spark, sf):
     return finish(P.prof_basic(tbl(spark, sf, "lineitem")).drop("dtype"))
 
 
+@q("profile_rollup")
+def profile_rollup(spark, sf):
+    """Profiles of twelve shards, stored in two steps, rolled up without reading a shard again (exact parts)."""
+    shards, store = write_shards(spark, sf, one_file=True), run_path(spark, "profiles")
+    PS.add_profiles(spark, os.path.join(shards, "shard=3"), store)
+    PS.add_profiles(spark, shards, store)
+    return finish(PS.roll_up(spark, shards, store).drop("n_unique"))
+
+
 @q("prof_numeric")
 def prof_numeric(spark, sf):
     return finish(P.prof_numeric(tbl(spark, sf, "lineitem"), NUM_LI))
@@ -348,6 +358,13 @@ def feature_catalogue(spark, sf):
     return finish(P.feature_catalogue(materialize(features_v2(latest_m(spark, sf))), WHY))
 
 
+@q("feature_catalogue_stats")
+def feature_catalogue_stats(spark, sf):
+    """The catalogue's null rates and distinct counts (logarithms aside, whose last bit is the platform's)."""
+    full = P.feature_catalogue(materialize(features_v2(latest_m(spark, sf))), WHY)
+    return finish(full.where(~F.col("column").endswith("_log1p")).select("column", "null_rate", "n_unique"))
+
+
 @q("eda_summary")
 def eda_summary(spark, sf):
     """File inventory + column classes + top missing, as one row."""
@@ -356,7 +373,7 @@ def eda_summary(spark, sf):
     bins = SC.split_columns(cp(spark, sf)).agg(F.sum(F.col("is_binary").cast("int")).alias("binary"))
     top = P.prof_missing_top(cp(spark, sf), 20).agg(
         F.to_json(F.collect_list(F.struct("column", "null_rate"))).alias("missing_top20"))
-    rows = cp(spark, sf).agg(F.count(F.lit(1)).alias("rows"), F.lit(len(FX.PAYM_COLS) + 21).alias("cols"))
+    rows = cp(spark, sf).agg(F.count(F.lit(1)).alias("rows"), F.lit(len(cp(spark, sf).columns)).alias("cols"))
     return P._one_row(inv, cls, bins, top, rows)
 
 

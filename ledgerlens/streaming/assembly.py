@@ -187,6 +187,8 @@ def assemble_stream(spark: SparkSession, shard_dir: str, out_dir: str, checkpoin
     """Fold the shard files under ``shard_dir`` as they arrive; the newest commit, or None before the first."""
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", glob)
               .option("maxFilesPerTrigger", files_per_trigger).parquet(shard_dir))
+    named = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).names
+    stream = stream.select(*named)               # without columns made from folder names
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         fold_batch(batch, batch_id, out_dir, labels, buckets, tiebreak, cfg, keep_commits)

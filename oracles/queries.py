@@ -83,6 +83,14 @@ reg("shard_profile", W(CP, "sp AS (SELECT CAST(o_orderkey % 12 AS INT) AS shard,
                             if c == "pre_loans_next_pay_summ" else
                             f"AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS nr_{c}") for c in _SHARD_EXPECTED)
                        + " FROM credit_products GROUP BY 1)") + _shard_parts)
+_ROLL = "CASE WHEN o_orderkey % 12 >= 6 THEN NULL ELSE pre_loans_next_pay_summ END"
+reg("profile_rollup", W(CP) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(*) AS n_rows, "
+    + rnd(f"AVG(CASE WHEN {x} IS NULL THEN 1.0 ELSE 0.0 END)", "null_rate") + ", "
+    + (", ".join([rnd("NULL", "lo"), rnd("NULL", "hi"), f"MIN({x}) AS lo_text", f"MAX({x}) AS hi_text"]) if c == "id" else
+       ", ".join([rnd(f"MIN({x})", "lo"), rnd(f"MAX({x})", "hi"), "CAST(NULL AS VARCHAR) AS lo_text", "CAST(NULL AS VARCHAR) AS hi_text"]))
+    + " FROM credit_products"
+    for c in CP_COLS for x in [_ROLL if c == "pre_loans_next_pay_summ" else c]))
 reg("sink_parquet", W(events_cte()) + "SELECT * FROM paym_events")
 SCORED = f"""scored AS (
   SELECT c.id, c.rn, l.flag AS target,
@@ -380,6 +388,11 @@ reg("features_base", W(LATEST, base_cte()) + finish("base", CP_COLS + ["paym_las
 reg("features_v1", W(LATEST, v1_feature_ctes("latest")) + finish("f1", CP_COLS + V1_NAMES))
 reg("features_v2", W(LATEST, v2_ctes("latest")) + finish("v2", CP_COLS + V2_NAMES))
 _NO_6 = {"paym_ok_share_6", "paym_ok_share_delta_6_12", "paym_transitions_6", "paym_late_std_6", "paym_any_late_6"}
+_NO_LOGS = [c for c in V2_NAMES if not c.endswith("_log1p")]
+reg("feature_catalogue_stats", W(LATEST, v2_ctes("latest")) + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", " + rnd(f"AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END)", "null_rate")
+    + f", CAST(COUNT(DISTINCT {c}) + MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_unique FROM v2"
+    for c in _NO_LOGS))
 reg("features_v2_windows", W(LATEST, v2_ctes("latest")) + finish("v2", CP_COLS + [c for c in V2_NAMES if c not in _NO_6]))
 reg("dataset_v1", W(V1D) + finish("v1", _V1D_COLS))
 _V1S = ("f1s AS (SELECT * REPLACE (COALESCE(paym_last_late_recency, CAST(25 AS FLOAT)) AS paym_last_late_recency, "

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import metrics as M
 from ledgerlens.operators.cumulative import global_index, running_totals
+from ledgerlens.operators import quantiles as Q
 from ledgerlens.operators.quantiles import exact_quantiles, quantile_table
 
 
@@ -155,3 +156,37 @@ def test_split_keeps_unlabelled_rows_and_weights_skip_them(spark):
     assert len(w) == 300 and all(r["weight"] is None for r in w if r["target"] is None)
     assert sum(r["weight"] for r in w if r["weight"]) == pytest.approx(sum(r["target"] is not None for r in w))
     assert SM.sample_n(df, 17, keys=["id"]).count() == 17 and SM.sample_n(df, 1000, keys=["id"]).count() == 300
+
+
+def test_selection_moves_a_small_share(spark):
+    """100,000 rows of three columns: few values lie in the brackets, ties are counted before they move."""
+    import numpy as np
+    df = spark.range(100_000, numPartitions=7).selectExpr("rand(3) AS x", "randn(4) * 1e9 AS y", "cast(id % 3 as int) AS z").cache()
+    probs = [0.0, 0.01, 0.333, 0.5, 0.99, 1.0]
+    data = df.toPandas()
+    got = {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df, ["x", "y", "z"], probs).collect()}
+    for c in "xyz":
+        for p in probs:
+            assert got[c, p] == np.percentile(data[c].astype(float), 100 * p)
+    clean = Q._clean(df, ["x", "y"])
+    _, found = Q.brackets(clean, [(i, p) for i in (0, 1) for p in probs], 2.0 / Q.SKETCH)
+    assert Q.inside(clean, list(found.items())).count() < 0.01 * 200_000
+    df.unpersist()
+
+
+def test_missed_bracket_is_widened(spark, monkeypatch):
+    import numpy as np
+    values = [float(i * i % 101) for i in range(1000)] + [float("inf"), float("-inf"), 0.1, -0.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
+    real, seen = Q.brackets, []
+
+    def off(clean, keys, slack):
+        n, found = real(clean, keys, slack)
+        seen.append(len(keys))
+        if len(seen) == 1:
+            found = {k: (50.0, 50.0) for k in found}
+        return n, found
+    monkeypatch.setattr(Q, "brackets", off)
+    got = {r["p"]: r["value"] for r in exact_quantiles(df, ["x"], [0.1, 0.25, 0.9]).collect()}
+    assert got == {p: np.percentile(values, 100 * p) for p in (0.1, 0.25, 0.9)} and len(seen) >= 2
+    assert exact_quantiles(df.limit(0), ["x"], [0.5]).count() == 0
