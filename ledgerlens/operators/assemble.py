@@ -117,14 +117,41 @@ def filter_labelled(df: DataFrame, target: str = "target") -> DataFrame:
     return df.filter(F.col(target).isNotNull())
 
 
+DIFF_BUCKETS = 4096
+
+
+def bucket_prints(df: DataFrame, keys: Sequence[str], cols: Sequence[str], buckets: int) -> DataFrame:
+    """(bucket, rows, xor, sum): an order-free fingerprint of the rows in every bucket of keys."""
+    # NULLs are hashed by a flag of their own; the sum tells apart what an even number of equal rows hides in the xor
+    h = F.xxhash64(*[F.col(c) for c in [*keys, *cols]], *[F.col(c).isNull() for c in [*keys, *cols]])
+    return df.select(_bucket(keys, buckets).alias("bucket"), h.alias("h")).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_xor("h").alias("xor"), F.sum(F.col("h").cast("decimal(20,0)")).alias("sum"))
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _numbered(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """``df`` with ``_nth``, the place among rows of equal keys; only rows of repeated keys are moved for it."""
+    several = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*cols)))
+    return (_match(df, several, keys, "left_anti").withColumn("_nth", F.lit(1))
+            .unionByName(_match(df, several, keys, "left_semi").withColumn("_nth", place)))
+
+
 def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("id", "rn"),
-                 ignore: Optional[Sequence[str]] = None) -> DataFrame:
+                 ignore: Optional[Sequence[str]] = None, buckets: int = DIFF_BUCKETS) -> DataFrame:
     """Column and row differences between two versions of a table.
 
     Rows ``(section, name, value)``: ``column_removed`` / ``column_added`` /
     ``column_common`` per column, ``rows`` counts (``removed``, ``added``,
     ``common``) and ``changed`` = common rows whose value differs per common
-    column (NULL-safe).  One full outer join on the keys and one aggregate.
+    column (NULL-safe).
+
+    Either side is cut into ``buckets`` by a hash of its keys and fingerprinted, one
+    aggregate each; buckets with equal fingerprints are common as they are.  Only
+    the rows of the others are joined on their keys.
     """
     spark = a.sparkSession
     ignore = set(ignore or ())
@@ -136,17 +163,28 @@ def dataset_diff(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("id", "rn"),
             + [("column_common", c) for c in common])
     meta_df = spark.createDataFrame(meta, "section string, name string").withColumn(
         "value", F.lit(None).cast("bigint"))
-    # repeated keys are told apart by their place among equals, so rows do not fan out
-    nth = lambda cols: F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*cols)))
-    a, b = a.withColumn("_nth", nth(common or keys)), b.withColumn("_nth", nth(common or keys))
+    pa, pb = bucket_prints(a, keys, common, buckets), bucket_prints(b, keys, common, buckets)
+    names = ["rows", "xor", "sum"]
+    both_prints = pa.join(pb.select("bucket", *[F.col(c).alias(f"{c}_b") for c in names]), "bucket", "full_outer").collect()
+    equal = {r.bucket: r.rows for r in both_prints if all(r[c] is not None and r[c] == r[f"{c}_b"] for c in names)}
+    differ = [r.bucket for r in both_prints if r.bucket not in equal]                # at most ``buckets`` numbers
+    same = sum(equal.values())
+    if not differ:
+        counts = [("rows", "removed", 0), ("rows", "added", 0), ("rows", "common", same), *[("changed", c, 0) for c in common]]
+        return meta_df.unionByName(spark.createDataFrame(counts, "section string, name string, value bigint"))
+    if equal:
+        wanted = set(differ)
+        flags = F.split(F.lit(",".join("true" if k in wanted else "false" for k in range(buckets))), ",").cast("array<boolean>")
+        a, b = (t.where(F.element_at(flags, _bucket(keys, buckets) + 1)) for t in (a, b))
+    a, b = _numbered(a, keys, common or keys), _numbered(b, keys, common or keys)
     keys = [*keys, "_nth"]
     la = a.select(*keys, F.lit(True).alias("_in_a"), *[F.col(c).alias(f"a__{c}") for c in common])
-    lb = b.select(*keys, F.lit(True).alias("_in_b"), *[F.col(c).alias(f"b__{c}") for c in common])
-    j = la.join(lb, list(keys), "full_outer")
+    lb = b.select(*[F.col(k).alias(f"_b{k}") for k in keys], F.lit(True).alias("_in_b"), *[F.col(c).alias(f"b__{c}") for c in common])
+    j = la.join(lb, reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_b{k}")) for k in keys]), "full_outer")
     both = F.col("_in_a") & F.col("_in_b")
     aggs = [F.sum(F.when(F.col("_in_a") & F.col("_in_b").isNull(), 1).otherwise(0)).alias("removed"),
             F.sum(F.when(F.col("_in_b") & F.col("_in_a").isNull(), 1).otherwise(0)).alias("added"),
-            F.sum(F.when(both, 1).otherwise(0)).alias("common")]
+            (F.sum(F.when(both, 1).otherwise(0)) + F.lit(same)).alias("common")]
     aggs += [F.sum(F.when(both & ~F.col(f"a__{c}").eqNullSafe(F.col(f"b__{c}")), 1).otherwise(0))
              .alias(f"chg__{c}") for c in common]
     row = j.agg(*aggs)

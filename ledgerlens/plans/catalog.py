@@ -20,6 +20,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ledgerlens.config import FeatureConfigExtendedV2
 from ledgerlens.functions import sequence as S
+from ledgerlens.operators import aligned as AL
 from ledgerlens.operators import assemble as A
 from ledgerlens.operators import metrics as M
 from ledgerlens.operators import profile as P
@@ -35,6 +36,7 @@ from ledgerlens.sources import fixtures as FX
 from ledgerlens.sources import io as IO
 from ledgerlens.streaming.assembly import assemble_stream, read_assembled
 from ledgerlens.streaming.incremental import row_fn
+from ledgerlens.streaming.shards import map_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: Dict[str, Query] = {}
@@ -313,6 +315,15 @@ def join_paym_aligned(spark, sf):
     return keyed(features_v2(FX.paym_events(spark, sf), SEQ_ONLY), *PAYM_FEATS)
 
 
+@q("join_paym_history")
+def join_paym_history(spark, sf):
+    """The histories as a stored table of their own, joined by (id, rn) without moving them."""
+    events = materialize(FX.paym_events(spark, sf))
+    name = f"history_{uuid.uuid4().hex[:12]}"
+    AL.store_history(events, name, run_path(spark, "history"))
+    return keyed(features_v2(AL.join_history(events.select("id", "rn"), name), SEQ_ONLY), *PAYM_FEATS)
+
+
 @q("label_gap")
 def label_gap(spark, sf):
     return A.label_gap(cp(spark, sf), labels(spark, sf))
@@ -792,3 +803,15 @@ def _util_pd(pdf: pd.DataFrame) -> pd.DataFrame:
 def row_fn_q(spark, sf):
     src = cp(spark, sf).select("id", "rn", "pre_loans_outstanding", "pre_loans_credit_limit")
     return finish(row_fn(src, _util_pd, "id string, rn int, util_pd double"))
+
+
+def _place_in_shard(pdf: pd.DataFrame) -> pd.DataFrame:
+    out = pdf.sort_values("o_orderkey")[["id", "rn", "o_orderkey"]]
+    return out.assign(place=range(1, len(out) + 1))
+
+
+@q("row_fn_shards")
+def row_fn_shards(spark, sf):
+    """A callback that sorts its whole shard."""
+    shards = write_shards(spark, sf, one_file=True)
+    return map_shards(spark, shards, _place_in_shard, "id string, rn int, o_orderkey long, place long", ["id", "rn", "o_orderkey"])

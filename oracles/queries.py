@@ -169,6 +169,7 @@ reg("join_labels_left", W(LATEST, LABELS_CTE) + "SELECT t.id, t.rn, t.o_orderkey
 reg("join_latest_semi", W(CP) + "SELECT id, rn, o_orderkey FROM credit_products c WHERE rn = "
                                 "(SELECT MAX(rn) FROM credit_products c2 WHERE c2.id = c.id)")
 reg("join_paym_aligned", W(events_cte(), v2_ctes("paym_events", seq_only=True)) + finish("v2", ["id", "rn"] + PAYM_FEATS))
+reg("join_paym_history", SQL["join_paym_aligned"])
 reg("label_gap", W(CP, LABELS_CTE) + "SELECT DISTINCT id FROM credit_products WHERE id NOT IN "
                                      "(SELECT id FROM labels_credit)")
 
@@ -448,6 +449,9 @@ reg("incremental_assembly", W(V1D) + finish(
 reg("row_fn", W(CP) + "SELECT id, rn, " + rnd("CAST(pre_loans_outstanding AS DOUBLE) / pre_loans_credit_limit",
                                                 "util_pd") + " FROM credit_products")
 
+reg("row_fn_shards", W(CP) + "SELECT id, rn, o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_orderkey % 12 ORDER BY o_orderkey) AS place "
+                             "FROM credit_products")
+
 
 def oracle_sql() -> Dict[str, str]:
     return dict(SQL)
