@@ -51,7 +51,9 @@ from ledgerlens.llm.common import chunks, components, drop_saved, mix64, save, s
 
 LEAST_HITS, HIT_SHARE = 3, 12     # h = LEAST_HITS + T // HIT_SHARE occurrences are asked for on the short lists
 ORDER_ROWS = 1 << 17     # entries of the broadcast order table, 12 bytes each
-BLOCK_PAIRS = 4096       # partners of one class whose lists are merged at a time
+BLOCK_SHINGLES = 1 << 18  # shingles of one class's partners merged and probed at a time
+BITS = 512               # parity bits of a set
+LARGE = 4                # classes of components that are tried by one member first
 
 
 def doc_sets(col: pa.Array):
@@ -171,50 +173,93 @@ def first_cap(n: int, place: np.ndarray) -> np.ndarray:
     return ((5 * n - 9 * place) // 4).astype(np.int32)
 
 
-def _merge(batches):
-    """Rows (q, block, nq, token, c, nc) sorted by q, block, token, c -> candidate pairs."""
-    for (q, _), (nq, token, c, nc) in runs(batches, 2):
-        cut = np.flatnonzero(token[1:] != token[:-1]) + 1
-        own = int(nq[0])
-        by_size = {m: pair_hits(own, m) for m in np.unique(nc).tolist()}
-        least = {m: by_size[n] for m, n in zip(c.tolist(), nc.tolist())}
-        found = [(int(q), m) for m, n in merge_skip(np.split(c, cut), min(by_size.values())) if n >= least[m]]
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
-
-
-def _probe(batches):
-    """Rows (b, salt, a, set) sorted with b's own set (a null) first -> pairs that link."""
-    now, base = None, None
-    for batch in batches:
+def _hits_reached(base: np.ndarray, partners: list[np.ndarray], order: np.ndarray) -> list[int]:
+    """Places of the partners that meet ``base`` often enough on the short lists (heap merge of its lists)."""
+    short = np.sort(short_list(base, order))
+    members, tokens = [], []
+    for k, s in enumerate(partners):
+        mine = short_list(s, order)
+        at = np.minimum(np.searchsorted(short, mine), len(short) - 1)
+        hit = mine[short[at] == mine]
+        tokens.append(hit)
+        members.append(np.full(len(hit), k))
+    token, member = np.concatenate(tokens), np.concatenate(members)
+    by = np.lexsort((member, token))
+    token, member = token[by], member[by]
+    lists = np.split(member, np.flatnonzero(token[1:] != token[:-1]) + 1)
+    least = [pair_hits(len(base), len(s)) for s in partners]
+    return [k for k, n in merge_skip(lists, min(least)) if n >= least[k]]
+
+
+def _probe(order):
+    """Rows (b, salt, a, set) sorted with b's own set (a null) first -> pairs that link.
+
+    Partners are taken in blocks: the short lists are merged, and those that occur often
+    enough are probed in the whole sorted set, long lists included.
+    """
+    def links_of(b: int, base: np.ndarray, held: list) -> list[tuple[int, int]]:
         found = []
-        bs, salts, members, sets = (batch.column(k) for k in range(4))
-        for k in range(batch.num_rows):
-            key, a = (bs[k].as_py(), salts[k].as_py()), members[k].as_py()
-            s = np.frombuffer(sets[k].as_buffer(), dtype=np.uint64)
-            if a is None:
-                now, base = key, s.copy()
-                continue
-            if key != now:
-                raise ValueError("a set is missing")
+        for k in _hits_reached(base, [s for _, s in held], order.value) if held else []:
+            a, s = held[k]
             small, large = (s, base) if len(s) <= len(base) else (base, s)
             at = np.minimum(np.searchsorted(large, small), len(large) - 1)
             both = int((large[at] == small).sum())
             if 100 * both >= 80 * (len(s) + len(base) - both):
-                found.append((a, key[0]))
+                found.append((a, b))
+        return found
+
+    def run(batches):
+        now, base, held, size = None, None, [], 0
+        for batch in batches:
+            found = []
+            bs, salts, members, sets = (batch.column(k) for k in range(4))
+            for k in range(batch.num_rows):
+                key, a = (bs[k].as_py(), salts[k].as_py()), members[k].as_py()
+                s = np.frombuffer(sets[k].as_buffer(), dtype=np.uint64).copy()
+                if a is None:
+                    found += links_of(now[0], base, held) if held else []
+                    now, base, held, size = key, s, [], 0
+                    continue
+                if key != now:
+                    raise ValueError("a set is missing")
+                held.append((a, s))
+                size += len(s)
+                if size > BLOCK_SHINGLES:
+                    found += links_of(now[0], base, held)
+                    held, size = [], 0
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+        found = links_of(now[0], base, held) if held else []
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+    return run
+
+
+def parity(s: np.ndarray) -> list[int]:
+    """BITS parity bits of a set as longs: bit h(x) is flipped by every member x."""
+    odd = np.bincount((s >> np.uint64(40)) % np.uint64(BITS), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def _near_enough(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) without those whose parity bits differ in more places than sets that link can differ in members."""
+    bits = lambda k: sets.select(F.col("cls").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
+    differ = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return (pairs.join(bits("a"), "a").join(bits("b"), "b")
+            .where(differ <= F.expr("na + nb - 2 * ((4 * (na + nb) + 8) div 9)")).select("a", "b"))
 
 
-def verify(pairs: DataFrame, sets: DataFrame, salts: int = 16) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame, order, salts: int = 16) -> DataFrame:
     """Pairs (a, b) of classes that reach the overlap; one class's pairs are dealt to ``salts`` tasks."""
-    p = pairs.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salts)).cast("int"))
-    member = p.join(sets.withColumnRenamed("cls", "a"), "a").select("b", "salt", "a", "set")
-    own = (p.select("b", "salt").distinct().join(sets.withColumnRenamed("cls", "b"), "b")
+    p = _near_enough(pairs, sets).withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salts)).cast("int"))
+    p = save(p, "near")
+    whole = sets.select("cls", "set")
+    member = p.join(whole.withColumnRenamed("cls", "a"), "a").select("b", "salt", "a", "set")
+    own = (p.select("b", "salt").distinct().join(whole.withColumnRenamed("cls", "b"), "b")
            .select("b", "salt", F.lit(None).cast("long").alias("a"), "set"))
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (member.unionByName(own).repartition(n, "b", "salt")
-            .sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first()).mapInArrow(_probe, "a long, b long"))
+            .sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first()).mapInArrow(_probe(order), "a long, b long"))
 
 
 def _fits(a: str, b: str):
@@ -268,13 +313,14 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
     def make_sets(batches):
         for b in batches:
             want = b.column(2).to_pylist()
-            rows = [(want[i], s.tobytes()) for i, s in doc_sets(b.column(1)) if len(s) and set_print(s) == want[i]]
+            rows = [(want[i], len(s), parity(s), s.tobytes()) for i, s in doc_sets(b.column(1)) if len(s) and set_print(s) == want[i]]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
-                                                  pa.array([r[1] for r in rows], pa.binary())], names=["cls", "set"])
+                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                                 names=["cls", "n", "bits", "set"])
 
     sets = save(src.join(reps, "doc_id").select("doc_id", "text", "cls")
-                .mapInArrow(make_sets, "cls long, set binary").dropDuplicates(["cls"]), "sets")
+                .mapInArrow(make_sets, "cls long, n int, bits array<long>, set binary").dropDuplicates(["cls"]), "sets")
 
     # seed: the most central class on each list, the one met on most lists
     hubs = post.groupBy("token").agg(F.max(F.struct("central", "n", "cls")).alias("hub"))
@@ -283,24 +329,21 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
              .groupBy("cls", "b").agg(F.count("*").alias("c")))
     first = (tried.groupBy("cls").agg(F.max(F.struct("c", "b")).alias("x"))
              .select(F.col("cls").alias("a"), F.col("x.b").alias("b")))
-    seed = save(verify(first, sets), "seed")
+    seed = save(verify(first, sets, order), "seed")
     comp = components(seed)
 
     # merge: what other components occur on the short lists
     placed = save(post.join(comp.withColumnRenamed("node", "cls"), "cls", "left")
                   .select("token", "cls", "n", "cap", F.coalesce("component", "cls").alias("comp")), "placed")
     drop_saved(post, comp)
-    found, tried = [seed], None
-    for best_only in (True, False):
+    found = [seed]
+    for large_only in (True, False):
         lists = save(_open_lists(placed), "open")
         drop_saved(placed)
-        pairs = _partners(lists, best_only)
-        if tried is not None:
-            pairs = pairs.join(tried, ["q", "c"], "left_anti")
-        tried = save(pairs, "pairs")
-        cross = save(verify(save(_merged(tried, lists, n_tasks), "merged"), sets), "cross")
+        pairs = save(_partners(lists, large_only).select(F.col("q").alias("a"), F.col("c").alias("b")), "pairs")
+        cross = save(verify(pairs, sets, order), "cross")
         found.append(cross)
-        if best_only:                       # contract what linked; only the rest is tried member by member
+        if large_only:                      # contract what linked; the rest is tried member by member
             at = lists.select("cls", "comp").distinct()
             joined = (cross.join(at.select(F.col("cls").alias("a"), F.col("comp").alias("u")), "a")
                       .join(at.select(F.col("cls").alias("b"), F.col("comp").alias("v")), "b").select("u", "v").distinct())
@@ -320,43 +363,37 @@ def _open_lists(placed: DataFrame) -> DataFrame:
     return lists.join(lists.select("comp", "cls").distinct().groupBy("comp").agg(F.count("*").alias("w")), "comp")
 
 
-def _partners(lists: DataFrame, best_only: bool) -> DataFrame:
+def _partners(lists: DataFrame, large_only: bool) -> DataFrame:
     """Distinct pairs (q, c) of classes of different components that can link.
 
     Every list is first joined with the components on it, not with their classes,
     and the first shared shingle of a link must lie there (``first_cap``).  A class is
     asked about components of at most its own component's size, so the components
-    that are then joined member by member are the smaller ones.  ``best_only``: of every two
-    components only the class that meets the other one most often asks.
+    that are then joined member by member are the smaller ones.  ``large_only``: of every two
+    components of ``LARGE`` or more classes, the class that meets the other one most often.
     """
     comps = lists.groupBy("token", F.col("comp").alias("cc"), F.col("w").alias("wc")).agg(
-        F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("cap").alias("kc"))
+        F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("cap").alias("kc"), F.first("cls").alias("c"))
     asks = lists.select("token", F.col("cls").alias("q"), F.col("n").alias("nq"), F.col("cap").alias("kq"),
                         F.col("comp").alias("cq"), F.col("w").alias("wq"))
+    if large_only:
+        comps, asks = comps.where(F.col("wc") >= LARGE), asks.where(F.col("wq") >= LARGE)
     met = asks.join(comps, "token").where(
         ((F.col("wc") < F.col("wq")) | ((F.col("wc") == F.col("wq")) & (F.col("cc") < F.col("cq"))))
         & (F.col("nq") <= F.col("kc")) & (F.col("n0") <= F.col("kq"))
-        & (F.col("n0") * 4 <= F.col("nq") * 5) & (F.col("nq") * 4 <= F.col("n1") * 5)).drop("wq", "wc", "kc", "n0", "n1")
-    if best_only:
+        & (F.col("n0") * 4 <= F.col("nq") * 5) & (F.col("nq") * 4 <= F.col("n1") * 5)).drop("wq", "kc", "n0", "n1")
+    if large_only:
         met = save(met, "met")
         one = (met.groupBy("cq", "cc", "q").agg(F.count("*").alias("k"))
                .groupBy("cq", "cc").agg(F.max_by("q", F.struct("k", "q")).alias("q")))
         met = met.join(one, ["cq", "cc", "q"], "left_semi")
-    members = lists.select("token", F.col("comp").alias("cc"), F.col("cls").alias("c"), F.col("n").alias("nc"), F.col("cap").alias("kc"))
-    return (met.join(members, ["token", "cc"])
+    # a component of one class is its class; others are joined member by member
+    members = lists.where("w > 1").select("token", F.col("comp").alias("cc"), F.col("cls").alias("c"), F.col("n").alias("nc"),
+                                          F.col("cap").alias("kc"))
+    alone = met.where("wc = 1").select("q", "c")
+    return (met.where("wc > 1").drop("c").join(members, ["token", "cc"])
             .where((F.col("nq") <= F.col("kc")) & (F.col("nc") <= F.col("kq")) & _fits("nq", "nc"))
-            .select("q", "c").distinct())
-
-
-def _merged(pairs: DataFrame, lists: DataFrame, n_tasks: int) -> DataFrame:
-    """The pairs whose classes meet often enough on the short lists: heap merge per querying class."""
-    load = pairs.groupBy("q").agg((F.floor(F.count("*") / BLOCK_PAIRS) + 1).cast("int").alias("blocks"))
-    dealt = pairs.join(load, "q").select("q", "c", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int").alias("block"))
-    rows = (dealt.join(lists.select(F.col("cls").alias("q"), "token", F.col("n").alias("nq")), "q")
-            .join(lists.select(F.col("cls").alias("c"), "token", F.col("n").alias("nc")), ["c", "token"])
-            .select("q", "block", "nq", "token", "c", "nc"))
-    return (rows.repartition(n_tasks, "q", "block").sortWithinPartitions("q", "block", "token", "c")
-            .mapInArrow(_merge, "a long, b long"))
+            .select("q", "c").unionByName(alone).distinct())
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
