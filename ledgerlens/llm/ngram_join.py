@@ -52,7 +52,7 @@ from ledgerlens.llm.common import chunks, components, drop_saved, mix64, save, s
 LEAST_HITS, HIT_SHARE = 3, 12     # h = LEAST_HITS + T // HIT_SHARE occurrences are asked for on the short lists
 ORDER_ROWS = 1 << 17     # entries of the broadcast order table, 12 bytes each
 BLOCK_SHINGLES = 1 << 18  # shingles of one class's partners merged and probed at a time
-BITS = 512               # parity bits of a set
+PARTNERS = 64            # partners of one class verified by one task
 LARGE = 4                # classes of components that are tried by one member first
 
 
@@ -235,24 +235,51 @@ def _probe(order):
     return run
 
 
-def parity(s: np.ndarray) -> list[int]:
-    """BITS parity bits of a set as longs: bit h(x) is flipped by every member x."""
-    odd = np.bincount((s >> np.uint64(40)) % np.uint64(BITS), minlength=BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+def parity(s: np.ndarray) -> bytes:
+    """Parity bits of a set: bit h(x) is flipped by every member x; 2 to 4 bits a member, a power of two."""
+    n = max(512, 1 << (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _close(batches):
+    """Rows (a, b, na, nb, bitsa, bitsb) -> pairs whose bits differ in no more places than sets that link in members.
+
+    Equal members cancel out, so sets differ in at least as many members as their
+    parity bits in places; folding the longer bits in half keeps this true.
+    """
+    for batch in batches:
+        keep = []
+        na, nb = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3))
+        most = na + nb - 2 * needed_of_both(na, nb)
+        for k in range(batch.num_rows):
+            x, y = (np.frombuffer(batch.column(i)[k].as_buffer(), dtype=np.uint8) for i in (4, 5))
+            while len(x) != len(y):
+                if len(x) < len(y):
+                    x, y = y, x
+                x = x[:len(x) // 2] ^ x[len(x) // 2:]
+            keep.append(int(np.unpackbits(x ^ y).sum()) <= most[k])
+        if any(keep):
+            at = pa.array(np.flatnonzero(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+
+
+def needed_of_both(n, m):
+    """Members that sets of n and m share at least if they link."""
+    return (4 * (n + m) + 8) // 9
 
 
 def _near_enough(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) without those whose parity bits differ in more places than sets that link can differ in members."""
     bits = lambda k: sets.select(F.col("cls").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
-    differ = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return (pairs.join(bits("a"), "a").join(bits("b"), "b")
-            .where(differ <= F.expr("na + nb - 2 * ((4 * (na + nb) + 8) div 9)")).select("a", "b"))
+    return (pairs.join(bits("a"), "a").join(bits("b"), "b").select("a", "b", "na", "nb", "bitsa", "bitsb")
+            .mapInArrow(_close, "a long, b long"))
 
 
-def verify(pairs: DataFrame, sets: DataFrame, order, salts: int = 16) -> DataFrame:
-    """Pairs (a, b) of classes that reach the overlap; one class's pairs are dealt to ``salts`` tasks."""
-    p = _near_enough(pairs, sets).withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(salts)).cast("int"))
-    p = save(p, "near")
+def verify(pairs: DataFrame, sets: DataFrame, order) -> DataFrame:
+    """Pairs (a, b) of classes that reach the overlap; a class's pairs are dealt to tasks of ``PARTNERS`` at most about."""
+    near = save(_near_enough(pairs, sets), "near")
+    load = near.groupBy("b").agg((F.floor(F.count("*") / PARTNERS) + 1).cast("int").alias("salts"))
+    p = near.join(load, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("salts")).cast("int"))
     whole = sets.select("cls", "set")
     member = p.join(whole.withColumnRenamed("cls", "a"), "a").select("b", "salt", "a", "set")
     own = (p.select("b", "salt").distinct().join(whole.withColumnRenamed("cls", "b"), "b")
@@ -315,12 +342,12 @@ def links(src: DataFrame, sig: DataFrame) -> DataFrame:
             want = b.column(2).to_pylist()
             rows = [(want[i], len(s), parity(s), s.tobytes()) for i, s in doc_sets(b.column(1)) if len(s) and set_print(s) == want[i]]
             if rows:
-                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                                  names=["cls", "n", "bits", "set"])
 
     sets = save(src.join(reps, "doc_id").select("doc_id", "text", "cls")
-                .mapInArrow(make_sets, "cls long, n int, bits array<long>, set binary").dropDuplicates(["cls"]), "sets")
+                .mapInArrow(make_sets, "cls long, n int, bits binary, set binary").dropDuplicates(["cls"]), "sets")
 
     # seed: the most central class on each list, the one met on most lists
     hubs = post.groupBy("token").agg(F.max(F.struct("central", "n", "cls")).alias("hub"))
