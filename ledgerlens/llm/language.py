@@ -9,8 +9,10 @@ reaches the driver.
 distributions.  Expectation-maximisation estimates the proportions; languages
 are then added in order of their proportion as long as the log-likelihood gains
 more than ``penalty * log(n) / 2`` each, n being the text's number of trigrams.
-The prediction is the selected language with the largest proportion, its score
-that proportion under all languages.
+Proportions are then estimated anew over the selected languages alone: the prediction
+is the one with the largest, its score that proportion.  ``fit`` is the text's
+log-likelihood per trigram under this mixture less that of drawing all buckets
+alike: below 0 no mixture of learned languages explains the text better than chance.
 
 Defined cases: null text or one without letters is ``und`` with score 0; so is
 every text when nothing was learned; equal proportions go to the earlier language
@@ -114,62 +116,71 @@ def _em(p: np.ndarray, c: np.ndarray, start: np.ndarray, rounds: int) -> tuple[n
     return pi, float(c @ np.log(pi @ p))
 
 
-def mixture(model: Model, text: str, rounds: int = 30, penalty: float = 8.0) -> tuple[list[int], np.ndarray] | None:
-    """Indices of the selected languages (largest proportion first) and the proportions of all; None: no letters."""
+def mixture(model: Model, text: str, **how) -> tuple[list[int], np.ndarray] | None:
+    """Indices of the selected languages and their proportions, largest first; None: no letters."""
+    found = explain(model, text, **how)
+    return found and found[:2]
+
+
+def explain(model: Model, text: str, rounds: int = 30,
+            penalty: float = 8.0) -> tuple[list[int], np.ndarray, float, int] | None:
+    """(selected languages, their proportions, fit, trigrams), largest proportion first; None: no letters."""
     grams = trigrams(text)
     if not len(grams) or not model.languages:
         return None
     u, c = np.unique(grams, return_counts=True)
     c = c.astype(float)
-    log_p = model.log_p[:, u]
-    p = np.exp(log_p)
+    p = np.exp(model.log_p[:, u])
     k = len(p)
     pi, best = _em(p, c, np.full(k, 1 / k), rounds)
     order = np.lexsort((np.arange(k), -pi))
     cost = penalty * np.log(c.sum() + 1) / 2
-    chosen, ll = [int(order[0])], float(c @ log_p[order[0]])
+    chosen = [int(order[0])]
+    share, ll = _em(p[chosen], c, np.ones(1), rounds)
     for nxt in order[1:]:
         if best - ll <= cost:                  # not even all languages together gain enough
             break
         trial = [*chosen, int(nxt)]
-        _, gain = _em(p[trial], c, np.full(len(trial), 1 / len(trial)), rounds)
+        more, gain = _em(p[trial], c, np.full(len(trial), 1 / len(trial)), rounds)
         if gain - ll <= cost:
             break
-        chosen, ll = trial, gain
-    return chosen, pi
+        chosen, share, ll = trial, more, gain
+    by = np.lexsort((chosen, -share))
+    return [chosen[i] for i in by], share[by], ll / c.sum() + np.log(model.log_p.shape[1]), int(c.sum())
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text", prefix: str = "", **how) -> DataFrame:
-    """``df`` with lang_pred, score, langs and shares (the selected languages and their proportions).
+    """``df`` with lang_pred, score, langs and shares (the selected languages and their proportions), fit and n_grams.
 
     The new columns' names start with ``prefix``; columns of ``df`` with the same names go.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    new = [prefix + x for x in ("lang_pred", "score", "langs", "shares")]
+    new = [prefix + x for x in ("lang_pred", "score", "langs", "shares", "fit", "n_grams")]
     names = [n for n in df.columns if n not in new]
     src = df.select(*names)
     extra = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()),
-                       ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64()))])
+                       ("langs", pa.list_(pa.string())), ("shares", pa.list_(pa.float64())),
+                       ("fit", pa.float64()), ("n_grams", pa.int64())])
 
     def run(batches):
         m = shared.value
         for b in batches:
             rows = []
             for text in b.column(names.index(text_col)).to_pylist():
-                found = mixture(m, text, **how) if text else None
+                found = explain(m, text, **how) if text else None
                 if found is None:
-                    rows.append({"lang_pred": UNKNOWN, "score": 0.0, "langs": [], "shares": []})
+                    rows.append({"lang_pred": UNKNOWN, "score": 0.0, "langs": [], "shares": [], "fit": 0.0, "n_grams": 0})
                     continue
-                chosen, pi = found
-                share = [float(min(1.0, max(0.0, pi[i]))) for i in chosen]
-                rows.append({"lang_pred": m.languages[chosen[0]], "score": share[0],
-                             "langs": [m.languages[i] for i in chosen], "shares": share})
+                chosen, pi, fit, n = found
+                share = [float(min(1.0, max(0.0, x))) for x in pi]
+                rows.append({"lang_pred": m.languages[chosen[0]], "score": share[0], "langs": [m.languages[i] for i in chosen],
+                             "shares": share, "fit": float(fit), "n_grams": n})
             if rows:
                 more = pa.RecordBatch.from_pylist(rows, schema=extra)
                 yield pa.RecordBatch.from_arrays([*b.columns, *more.columns], names=[*names, *new])
 
-    from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
+    from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
     out = StructType(list(src.schema.fields))
-    for name, kind in zip(new, (StringType(), DoubleType(), ArrayType(StringType()), ArrayType(DoubleType()))):
+    for name, kind in zip(new, (StringType(), DoubleType(), ArrayType(StringType()), ArrayType(DoubleType()), DoubleType(), LongType())):
         out = out.add(name, kind)
     return src.mapInArrow(run, out)

@@ -163,6 +163,53 @@ def test_language_mixture(spark, sf):
     assert [model.languages[i] for i in chosen] == [a]
 
 
+def plain_em(p, counts, rounds):
+    """Proportions by single draws: responsibilities of every trigram, averaged."""
+    k = len(p)
+    pi = [1 / k] * k
+    for _ in range(rounds):
+        new, n = [0.0] * k, 0
+        for g, c in counts.items():
+            whole = sum(pi[i] * p[i][g] for i in range(k))
+            for i in range(k):
+                new[i] += c * pi[i] * p[i][g] / whole
+            n += c
+        new = [x / n for x in new]
+        if max(abs(a - b) for a, b in zip(pi, new)) < 1e-4:
+            return new
+        pi = new
+    return pi
+
+
+def test_selected_languages_decide(spark, sf):
+    from collections import Counter
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = L.train(docs)
+    text = {r.lang: r.text for r in docs.where("n_chars between 1500 and 4000").collect()}
+    langs = sorted(text)
+    for mixed in (text[langs[0]], text[langs[1]][:900] + "\n" + text[langs[2]][:300], text[langs[2]][:200] + text[langs[0]][:800]):
+        chosen, share, fit, n = L.explain(model, mixed)
+        counts = Counter(L.trigrams(mixed).tolist())
+        p = np.exp(model.log_p)
+        plain = plain_em([p[i] for i in chosen], counts, 30)
+        assert np.allclose(share, plain, atol=2e-3) and list(share) == sorted(share, reverse=True) and abs(share.sum() - 1) < 1e-9
+        ll = lambda some, pi: sum(c * np.log(sum(w * p[i][g] for w, i in zip(pi, some))) for g, c in counts.items())
+        assert n == sum(counts.values()) and abs(fit - (ll(chosen, share) / n + np.log(p.shape[1]))) < 1e-6
+        # no further language gains what it costs, and the chosen ones do
+        cost = 8 * np.log(n + 1) / 2
+        full = plain_em(list(p), counts, 30)
+        rest = [i for i in np.lexsort((np.arange(len(p)), -np.array(full))) if i not in chosen][:1]
+        for i in rest:
+            more = plain_em([p[j] for j in [*chosen, i]], counts, 30)
+            assert ll([*chosen, i], more) - ll(chosen, plain) <= cost + 1e-3
+        if len(chosen) > 1:
+            assert ll(chosen, plain) - ll(chosen[:1], [1.0]) > cost - 1e-3
+    rng = random.Random(1)
+    noise = " ".join("".join(rng.choice("qxzwvkjbpg") for _ in range(7)) for _ in range(60))
+    assert L.explain(model, noise)[2] < 0 < L.explain(model, text[langs[0]])[2]
+    assert all(r.fit > 0 for r in L.identify(docs.where("n_chars > 200").select("text"), model).collect())
+
+
 def test_decontamination(spark):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 6)))

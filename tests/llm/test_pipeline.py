@@ -40,3 +40,16 @@ def test_stages(spark, sf):
             want = [(i, t) for d, (i, t, _) in enumerate(rows) if d not in bad]
         assert got == sorted((i or -1, t) for i, t in want), name
         docs = out
+
+
+def test_language_stage_rejects_what_no_language_explains(spark, sf):
+    import random
+
+    import corpus_pipeline as P
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("qxzwvkjbpg") for _ in range(7))
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = spark.createDataFrame([(10 ** 6, " ".join(word() for _ in range(60)), None, "s", 0), (10 ** 6 + 1, "xq zw", None, "s", 5)], docs.schema)
+    kept = {r.doc_id for r in P.language_id(spark, docs.unionByName(odd), sf).collect()}
+    assert 10 ** 6 not in kept and 10 ** 6 + 1 in kept
+    assert kept >= {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
