@@ -4,7 +4,8 @@
 DataFrame, written as Parquet and read again as the next one's docs.  All but the
 last return the columns of ``documents``:
 
-* language_id    documents without letters (no language) go;
+* language_id    documents without letters go, and those of ENOUGH_GRAMS or more letter trigrams that
+                 no mixture of the learned languages explains better than chance;
 * ngram_jaccard  of every group of near duplicates the smallest doc_id stays;
 * suffix_dedup   bytes covered by strings of 200 bytes that also start elsewhere are
                  cut from the texts (n_chars follows); every document stays;
@@ -27,13 +28,16 @@ from ledgerlens.llm.mixing import mix_sources
 from ledgerlens.llm.ngram_join import keep_one
 from ledgerlens.llm.suffix_dedup import remove_repeats
 
+ENOUGH_GRAMS = 30      # shorter texts say too little to be rejected
 ORACLE_SQL = None      # language models, suffix order and SimHash have no SQL form; see tests/llm/test_pipeline.py
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     model = train(docs.where(F.col("doc_id").isNotNull() & ~held_out("doc_id")))
-    return identify(docs, model, prefix="_found_").where(F.col("_found_lang_pred") != UNKNOWN).select(*docs.columns)
+    found = identify(docs, model, prefix="_found_")
+    known = (F.col("_found_lang_pred") != UNKNOWN) & ((F.col("_found_n_grams") < ENOUGH_GRAMS) | (F.col("_found_fit") >= 0))
+    return found.where(known).select(*docs.columns)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

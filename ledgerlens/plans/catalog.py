@@ -14,6 +14,7 @@ import uuid
 from typing import Callable, Dict
 
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -27,6 +28,7 @@ from ledgerlens.operators import profile as P
 from ledgerlens.operators import profile_store as PS
 from ledgerlens.operators import sampling as SM
 from ledgerlens.operators import schema as SC
+from ledgerlens.operators import sparse_categories as SP
 from ledgerlens.operators.quantiles import percentile_caps
 from ledgerlens.plans import datasets as D
 from ledgerlens.plans import modeling as ML
@@ -34,6 +36,7 @@ from ledgerlens.plans.features import WHY, features_base, features_v1, features_
 from ledgerlens.session import materialize, scratch_dir
 from ledgerlens.sources import fixtures as FX
 from ledgerlens.sources import io as IO
+from ledgerlens.sources import widening as WD
 from ledgerlens.streaming.assembly import assemble_stream, read_assembled
 from ledgerlens.streaming.incremental import row_fn
 from ledgerlens.streaming.shards import map_shards
@@ -155,6 +158,18 @@ def scan_shards(spark, sf):
     return df.select("id", "rn", "o_orderkey", "pre_loans_next_pay_summ", "shard")
 
 
+@q("scan_widened")
+def scan_widened(spark, sf):
+    """Shards that disagree on types: counts as int and bigint, amounts as int and double, codes as int and text."""
+    root = run_path(spark, "mixed")
+    c = cp(spark, sf).select("id", "rn", "o_orderkey", "pre_loans_outstanding", "enc_loans_credit_type", "pre_loans5")
+    parts = [c.drop("pre_loans5"), c.withColumns({"rn": F.col("rn").cast("long"), "pre_loans_outstanding": F.col("pre_loans_outstanding") / 4}),
+             c.withColumn("enc_loans_credit_type", F.concat(F.lit("t"), F.col("enc_loans_credit_type")))]
+    for k, part in enumerate(parts):
+        part.where(F.col("o_orderkey") % 3 == k).write.mode("append").parquet(root)
+    return finish(WD.scan_widened(spark, root).drop("source_file"))
+
+
 def write_labels_csv(spark, sf, name="labels") -> str:
     path = run_path(spark, name) + ".csv"
     IO.sink_csv(labels(spark, sf), path)
@@ -260,6 +275,16 @@ def one_hot(spark, sf):
     return out.select("id", "rn", *[c for c in out.columns if c.startswith("OHE_")])
 
 
+@q("one_hot_sparse")
+def one_hot_sparse(spark, sf):
+    """Every customer key a category: the slots that an order's sparse vector holds."""
+    orders = tbl(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    cats = SP.fit_categories(orders.where("o_orderkey % 3 > 0"), ["o_custkey", "o_orderpriority"])
+    return SP.one_hot_sparse(orders, cats).select(
+        "o_orderkey", F.array_join(F.transform(F.filter(F.transform(
+            vector_to_array("one_hot"), lambda x, i: F.when(x > 0, i)), lambda i: i.isNotNull()), lambda i: i.cast("string")), ",").alias("slots"))
+
+
 @q("prune_features")
 def prune_features(spark, sf):
     return finish(SC.prune_features(SC.impute_sentinel(features_v2(latest_m(spark, sf)))))
@@ -737,20 +762,19 @@ def permutation_importance(spark, sf):
     return finish(ML.permutation_importance(m, va, n_repeats=5))
 
 
-ABLATION_GROUPS = {
-    "payment_seq": [c for c in PAYM_FEATS],
-    "ratios": ["overdue_to_limit", "maxover_to_limit", "outstanding_to_limit", "nextpay_to_limit", "overdue_ratio",
-               "nextpay_ratio", "overdue_to_outstanding", "maxover_to_outstanding", "credit_headroom"],
-    "severity": ["bucket_severity_score", "has_recent_90p", "pre_loans5", "pre_loans530", "pre_loans3060",
-                 "pre_loans6090", "pre_loans90"],
-    "raw_history": ["enc_paym_0", "enc_paym_1", "enc_paym_2"],
+# groups of features by their names
+ABLATION_PATTERNS = {
+    "payment_seq": r"^paym_(?!last_status)",
+    "ratios": r"_to_(limit|outstanding)$|_ratio$|^credit_headroom$",
+    "severity": r"^bucket_severity|^has_recent_90p$|^pre_loans\d+$",
+    "raw_history": r"^enc_paym_\d+$",
 }
 
 
 @q("group_ablation")
 def group_ablation(spark, sf):
     sp = v3_split(spark, sf).drop("is_valid")
-    return finish(ML.group_ablation(sp, ABLATION_GROUPS))
+    return finish(ML.group_ablation(sp, ML.match_groups(ML.feature_columns(sp), ABLATION_PATTERNS)))
 
 
 @q("predict_batch")
@@ -772,12 +796,11 @@ def inference_job(spark, sf):
 @q("model_persist")
 def model_persist(spark, sf):
     tr, va = _train_valid(spark, sf)
-    m = ML.fit_logreg(tr)
-    path = ML.model_persist(m, run_path(spark, "model"), {"features": ML.feature_columns(tr), "model": "logreg"})
+    path = ML.persist_run(ML.fit_logreg(tr), run_path(spark, "model"), tr, va, "logreg", {"C": 1.0, "l1_ratio": 0.5}, seed=42)
     meta = ML.read_metadata(spark, path)
-    loaded = ML.load_model(path)
-    ev = ML.evaluate_model(loaded, va, meta.get("model", "?"))
-    return finish(ev.withColumn("n_features", F.lit(len(meta.get("features", [])))))
+    ev = ML.evaluate_model(ML.load_model(path), va, meta["model"])
+    return finish(ev.withColumns({"n_features": F.lit(len(meta["features"])), "n_train": F.lit(meta["n_train"]).cast("long"),
+                                  "same_auc": F.abs(F.col("roc_auc") - F.lit(meta["roc_auc"])) < 1e-9}))
 
 
 # ================================================================ 2.10 streaming / UDF surface

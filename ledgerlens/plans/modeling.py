@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import re
+from concurrent.futures import ThreadPoolExecutor
 from typing import Dict, List, Optional, Sequence
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
@@ -303,30 +305,31 @@ def match_groups(columns: Sequence[str], patterns: Dict[str, str]) -> Dict[str,
 
 
 def group_ablation(df: DataFrame, groups: Dict[str, Sequence[str]], fit=None, seed: int = 42,
-                   test_size: float = 0.25) -> DataFrame:
+                   test_size: float = 0.25, workers: int = 4) -> DataFrame:
     """AUC change when each group of columns is removed (same split, same estimator).
 
-    A group without columns in the frame is not fitted: (group, 0, NULL, NULL).
+    ``match_groups`` makes groups from patterns.  Fits run side by side in
+    ``workers`` threads.  A group without columns in the frame is not fitted:
+    (group, 0, NULL, NULL).
     """
     fit = fit or (lambda tr, fs: fit_rf(tr, fs, n_trees=100, max_depth=10, seed=seed))
     spark = df.sparkSession
     sp = materialize(split_frame(df, test_size, seed))
     train, valid = sp.filter(~F.col("is_valid")), sp.filter(F.col("is_valid"))
     all_feats = feature_columns(df)
+    there = {g: [c for c in cols if c in all_feats] for g, cols in groups.items()}
+    kept = {None: all_feats} | {g: [c for c in all_feats if c not in cols] for g, cols in there.items() if cols}
+    kept = {g: cols for g, cols in kept.items() if cols}
 
-    def auc(feats):
-        m = fit(train, feats)
-        return evaluate_model(m, valid).first()["roc_auc"]
+    def auc(cols):
+        return evaluate_model(fit(train, cols), valid).first()["roc_auc"]
 
-    full = auc(all_feats)
+    with ThreadPoolExecutor(workers) as pool:
+        got = dict(zip(kept, pool.map(inheritable_thread_target(spark)(auc), kept.values())))
+    full = got[None]
     rows = [("__all__", len(all_feats), full, 0.0)]
-    for g, cols in groups.items():
-        cols = [c for c in cols if c in all_feats]
-        kept = [c for c in all_feats if c not in cols]
-        if not cols or not kept:
-            rows.append((g, len(cols), None, None))
-            continue
-        a = auc(kept)
+    for g, cols in there.items():
+        a = got.get(g)
         rows.append((g, len(cols), a, a - full if a is not None and full is not None else None))
     return spark.createDataFrame(rows, "group string, n_cols int, roc_auc double, delta_auc double")
 
@@ -355,6 +358,19 @@ def model_persist(model: PipelineModel, path: str, metadata: Optional[dict] = No
     return path
 
 
+def persist_run(model: PipelineModel, path: str, train: DataFrame, valid: DataFrame, name: str,
+                params: Optional[dict] = None, seed: Optional[int] = None) -> str:
+    """Save a model with what it takes to judge it later: scores on ``valid``, sizes, inputs, parameters, seed."""
+    ev = evaluate_model(model, valid, name).first()
+    label = label_column(train)
+    size = train.filter(F.col(label).isNotNull()).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(label).cast("double")).alias("rate")).first()
+    inputs = next(st for st in model.stages if isinstance(st, VectorAssembler)).getInputCols()
+    return model_persist(model, path, {
+        "model": name, "params": params or {}, "seed": seed, "features": [c[len(IMP):] for c in inputs if c.startswith(IMP)],
+        "roc_auc": ev["roc_auc"], "auc_pr": ev["auc_pr"], "best_f1": ev["best_f1"], "best_threshold": ev["best_threshold"],
+        "n_train": size["n"], "n_valid": ev["n_samples"], "positive_rate": size["rate"], "spark": train.sparkSession.version})
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 

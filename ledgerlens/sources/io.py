@@ -8,7 +8,6 @@ loop over files.
 from __future__ import annotations
 
 import json
-import os
 from typing import Iterable, Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,6 +157,3 @@ def sink_json_report(spark: SparkSession, report, path: str) -> str:
         spark.createDataFrame([(payload,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
 
-
-def path_join(*parts: str) -> str:
-    return os.path.join(*parts)

@@ -70,6 +70,10 @@ reg("scan_sample_head", f"SELECT o_orderkey, o_custkey, {rnd('o_totalprice', 'o_
 reg("scan_shards", W(CP) + "SELECT id, rn, o_orderkey, CASE WHEN o_orderkey % 12 >= 6 THEN NULL ELSE "
                            "pre_loans_next_pay_summ END AS pre_loans_next_pay_summ, CAST(o_orderkey % 12 AS INT) AS shard "
                            "FROM credit_products")
+reg("scan_widened", W(CP) + "SELECT id, CAST(rn AS BIGINT) AS rn, o_orderkey, "
+    + rnd("CASE WHEN o_orderkey % 3 = 1 THEN CAST(pre_loans_outstanding AS DOUBLE) / 4 ELSE pre_loans_outstanding END", "pre_loans_outstanding")
+    + ", CASE WHEN o_orderkey % 3 = 2 THEN 't' ELSE '' END || CAST(enc_loans_credit_type AS VARCHAR) AS enc_loans_credit_type, "
+      "CASE WHEN o_orderkey % 3 > 0 THEN pre_loans5 END AS pre_loans5 FROM credit_products")
 reg("scan_csv_labels", W(LABELS_CTE) + "SELECT id, CAST(flag AS TINYINT) AS target FROM labels_credit")
 reg("scan_by_suffix", W(LABELS_CTE) + "SELECT id, flag FROM labels_credit")
 _SHARD_EXPECTED = ["pre_loans_outstanding", "pre_loans_next_pay_summ", "pre_since_confirmed", "enc_paym_1",
@@ -148,6 +152,12 @@ _OHE = [("enc_loans_credit_type", v) for v in range(1, 6)] + [("enc_loans_credit
 reg("one_hot", W(CP) + "SELECT id, rn, " + ", ".join(
     f"CAST(CASE WHEN {c} = {v} THEN 1 ELSE 0 END AS TINYINT) AS OHE_{c}_{v}" for c, v in _OHE)
     + " FROM credit_products")
+reg("one_hot_sparse", """WITH cat AS (
+  SELECT col, v, ROW_NUMBER() OVER (PARTITION BY col ORDER BY v) - 1 AS code, COUNT(*) OVER (PARTITION BY col) AS n FROM (
+    SELECT DISTINCT 1 AS col, CAST(o_custkey AS VARCHAR) AS v FROM orders WHERE o_orderkey % 3 > 0
+    UNION ALL SELECT DISTINCT 2, o_orderpriority FROM orders WHERE o_orderkey % 3 > 0))
+SELECT o_orderkey, CONCAT_WS(',', CAST(a.code AS VARCHAR), CAST(b.code + (SELECT MAX(n) FROM cat WHERE col = 1) AS VARCHAR)) AS slots
+FROM orders LEFT JOIN cat a ON a.col = 1 AND a.v = CAST(o_custkey AS VARCHAR) LEFT JOIN cat b ON b.col = 2 AND b.v = o_orderpriority""")
 _V2_SENT = ("v2s AS (SELECT * REPLACE (COALESCE(paym_last_late_recency, CAST(25 AS FLOAT)) AS paym_last_late_recency, "
             "COALESCE(paym_last_ok_recency, CAST(25 AS FLOAT)) AS paym_last_ok_recency) FROM v2)")
 reg("prune_features", W(LATEST, v2_ctes("latest"), _V2_SENT) + finish("v2s", pruned(CP_COLS + V2_NAMES, False)))
