@@ -126,27 +126,33 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op4_sql() -> str:
-    from ledgerlens.llm.licenses import LOWER, TEMPLATES, THRESHOLD, UPPER, template_bigrams
-    bags = ", ".join(f"('{name}', '{b}', {c})" for name, t in sorted(TEMPLATES.items())
-                     for b, c in sorted(template_bigrams(t).items()))
+    from ledgerlens.llm.licenses import LOWER, TEMPLATES, THRESHOLD, UPPER
+    texts = ", ".join("('{}', '{}')".format(name, t.replace("'", "''")) for name, t in sorted(TEMPLATES.items()))
     return rf"""
-WITH t(license, gram, c) AS (VALUES {bags}),
+WITH tt(license, txt) AS (VALUES {texts}),
+tw AS (SELECT license, string_split(trim(regexp_replace(lower(txt), '[^a-z0-9]+', ' ', 'g')), ' ') AS words FROM tt),
+tg AS (SELECT license, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS gram FROM tw),
+t AS (SELECT license, gram, count(*) AS c FROM tg GROUP BY ALL),
 tk AS (SELECT license, sum(c) AS k FROM t GROUP BY license),
-d AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+d AS (SELECT row_number() OVER () AS r, doc_id, string_split(regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
              '[^\p{{L}}\p{{N}}
-]+', ' ', 'g') AS flat FROM documents),
-u AS (SELECT DISTINCT r, trim(x) AS unit FROM (
-        SELECT r, unnest(list_append(string_split(flat, chr(10)), regexp_replace(flat, '[ 
-]+', ' ', 'g'))) AS x FROM d)),
-w AS (SELECT row_number() OVER () AS n, r, string_split(unit, ' ') AS words FROM u WHERE unit <> '' AND contains(unit, ' ')),
-g AS (SELECT n, r, len(words) - 1 AS k, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS gram FROM w),
-c AS (SELECT n, r, k, gram, count(*) AS c FROM g GROUP BY ALL),
-i AS (SELECT n, r, c.k, license, sum(least(c.c, t.c)) AS shared FROM c JOIN t USING (gram) GROUP BY n, r, c.k, license),
-m AS (SELECT n, r, license, 2.0::DOUBLE * shared / (i.k + tk.k) AS score FROM i JOIN tk USING (license)),
-f AS (SELECT r, max(score) AS score, count(DISTINCT n) AS n_units FROM m WHERE score >= {THRESHOLD} GROUP BY r),
-b AS (SELECT m.r, min(license) AS license FROM (SELECT *, max(score) OVER (PARTITION BY n) AS top FROM m) m
-      JOIN f ON m.r = f.r AND m.score = f.score GROUP BY m.r)
-SELECT doc_id, license, score, coalesce(n_units, 0) AS n_units FROM d LEFT JOIN f USING (r) LEFT JOIN b USING (r)
+]+', ' ', 'g'), chr(10)) AS rows FROM documents),
+x AS (SELECT r, trim(unnest(rows)) AS line, unnest(range(len(rows))) AS i FROM d),
+y AS (SELECT r, i, line, len(string_split(line, ' ')) AS n FROM x WHERE line <> ''),
+l AS (SELECT r, i, n, sum(n) OVER (PARTITION BY r ORDER BY i) AS b FROM y),
+w AS (SELECT r, string_split(string_agg(line, ' ' ORDER BY i), ' ') AS words FROM y GROUP BY r),
+g AS (SELECT r, unnest(range(len(words) - 1)) AS p, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS gram FROM w),
+h AS (SELECT r, license, gram, p, c FROM g JOIN t USING (gram)),
+e AS (SELECT r, license, k FROM h JOIN tk USING (license) GROUP BY r, license, k HAVING count(*) >= {THRESHOLD / (2 - THRESHOLD) - 1e-6} * k),
+u AS (SELECT e.r, license, k, s.b - s.n AS a, f.b, f.b - s.b + s.n - 1 AS n FROM e JOIN l s ON s.r = e.r JOIN l f ON f.r = e.r AND f.i >= s.i
+      AND f.b - s.b + s.n - 1 BETWEEN {THRESHOLD / (2 - THRESHOLD) - 1e-6} * k AND {(2 - THRESHOLD) / THRESHOLD + 1e-6} * k),
+c AS (SELECT u.r, u.license, k, a, b, n, least(count(*), max(c)) AS c FROM u JOIN h ON h.r = u.r AND h.license = u.license
+      AND p >= a AND p < b - 1 GROUP BY u.r, u.license, k, a, b, n, gram),
+m AS (SELECT r, license, a, b, sum(c) AS shared, 2.0::DOUBLE * sum(c) / (n + k) AS score FROM c GROUP BY r, license, k, a, b, n),
+o AS (SELECT m.*, array_to_string(words[a + 1:b], ' ') AS unit FROM m JOIN w USING (r) WHERE score >= {THRESHOLD}),
+f AS (SELECT r, count(DISTINCT unit) AS n_units FROM o GROUP BY r),
+v AS (SELECT r, license, score FROM o QUALIFY row_number() OVER (PARTITION BY r ORDER BY shared DESC, score DESC, license) = 1)
+SELECT doc_id, license, score, coalesce(n_units, 0) AS n_units FROM d LEFT JOIN f USING (r) LEFT JOIN v USING (r)
 """
 
 

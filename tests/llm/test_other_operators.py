@@ -114,12 +114,21 @@ def test_licenses(spark):
     texts = [None, "", "word", "Released under the MIT License.", "x\nRELEASED under the MIT-licence... License\ny",
              "All rights reserved.", "some words\nAll Rights Reserved\nmore words all", mit, "head " + mit + " tail", mit.replace("Software", "Program"),
              "Licensed under CC BY-NC 4.0.\nAll rights reserved.", "licensed under nothing at all", "a b " * 5000, "All rights reserved.\nAll rights reserved."]
+    import textwrap
+    full = [LI.TEMPLATES[k] for k in ("mit-full", "bsd-2-clause-full", "bsd-3-clause-full", "isc-full")]
+    n_plain = len(texts)
+    texts += [f"#!/bin/sh\n\n{'# ' if k % 2 else ''}" + textwrap.fill(t, 50 + 20 * (k % 2)).replace("\n", "\n# " if k % 2 else "\n\n") + "\n\nint main(void) { return 0; }\n" * 9
+              for k, t in enumerate(full)]
+    rng = random.Random(6)
+    texts += ["\n".join(" ".join(rng.choice(mit.split()[:40] + ["x", "y"]) for _ in range(rng.randint(0, 6))) for _ in range(30)),
+              "\n".join(mit.split()), ("Released under\nthe MIT License\n" * 12), "\n \n", "the software " * 200 + "\n" + textwrap.fill(full[0], 30)]
     df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(texts)], "doc_id long, text string, score double")
     got = {r.doc_id: r for r in LI.scan_licenses(df).collect()}
     import re
     for i, t in enumerate(texts):
         flat = re.sub(r"(?:[^\w\n]|_)+", " ", (t or "").translate(str.maketrans(LI.UPPER, LI.LOWER)))
-        units = {u.strip() for u in [*flat.split("\n"), re.sub(r"[ \n]+", " ", flat)]}
+        lines = [u.strip() for u in flat.split("\n") if u.strip()]
+        units = {" ".join(lines[a:b]) for a in range(len(lines)) for b in range(a + 1, len(lines) + 1)}
         best, n = [], 0
         for u in units:
             bag, scores = LI.template_bigrams(u), []
@@ -127,14 +136,17 @@ def test_licenses(spark):
                 b = LI.template_bigrams(text)
                 k = sum(bag.values())
                 if k:
-                    scores.append((2 * sum((bag & b).values()) / (k + sum(b.values())), name))
-            ok = [s for s in scores if s[0] >= 0.8]
+                    shared = sum((bag & b).values())
+                    scores.append((shared, 2 * shared / (k + sum(b.values())), name))
+            ok = [s for s in scores if s[1] >= 0.8]
             n += bool(ok)
             best += ok
-        top = max((s for s, _ in best), default=None)
-        assert got[i].n_units == n and (got[i].score is None if top is None else abs(got[i].score - top) < 1e-12)
-        assert got[i].license == (None if top is None else min(x for s, x in best if s == top))
+        top = max((s[:2] for s in best), default=None)
+        assert got[i].n_units == n and (got[i].score is None if top is None else abs(got[i].score - top[1]) < 1e-12)
+        assert got[i].license == (None if top is None else min(s[2] for s in best if s[:2] == top))
     assert got[3].license == "mit" and got[9].license == "mit-text" and got[12].license is None
+    assert [got[n_plain + k].license for k in range(4)] == ["mit-full", "bsd-2-clause-full", "bsd-3-clause-full", "isc-full"]
+    assert all(got[n_plain + k].score > 0.95 for k in (0, 2))
     assert LI.scan_licenses(df.limit(0)).count() == 0
 
 
