@@ -4,7 +4,7 @@ A bundle is a file of independent Zstandard frames, each holding whole WARC
 records (about ``frame_bytes`` of them), followed by a seek table in a skippable
 frame (the public seekable format: sizes of every frame, their number, a magic
 number).  A reader finds any frame from the last bytes of the file, and the
-index names, for each record, its bundle, frame and offset inside the frame.
+index names, for each record id, its bundle, frame and offset inside the frame.
 
 ``write_bundles``  one streaming pass per partition; a bundle is written under a
     name of its task attempt and closed before its index rows are handed out, so
@@ -17,7 +17,9 @@ Payload: the html as UTF-8 (null: empty).  Of the records with equal payloads
 (SHA-256) of at least ``min_revisit`` bytes, those with the smallest page_id are
 responses, the others revisits without payload; smaller payloads are all
 responses.  Null page_ids are never the smallest; a group of nulls only is all
-responses.  Repeated rows give repeated records; null urls have no target header;
+responses.  Repeated rows (of one page_id and payload, null ids too) give as many
+records with ids of their own; a revisit names its response's record id where that
+is one record, its page_id always.  Null urls have no target header;
 an empty table gives no bundle and an empty result; other columns are ignored.
 """
 
@@ -41,7 +43,7 @@ from ledgerlens.session import scratch_dir
 SKIPPABLE_MAGIC, SEEK_MAGIC = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
-INDEX = ("page_id long, bundle string, frame long, frame_offset long, frame_bytes long, "
+INDEX = ("page_id long, record_id string, bundle string, frame long, frame_offset long, frame_bytes long, "
          "record_offset long, record_bytes long")
 
 
@@ -53,23 +55,26 @@ def _fs(path: str):
     return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
 
 
-def record_id(page_id, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+def record_id(page_id, digest: str, place: str = "") -> str:
+    """``place`` (bundle and number in it) tells the records of repeated rows apart."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}{place and ":" + place}')}>"
 
 
-def make_record(page_id, url, payload: bytes, digest: str, first, date: str) -> bytes:
-    """One WARC record; ``first`` is the response's page_id for a revisit, else None."""
+def make_record(page_id, url, payload: bytes, digest: str, first, date: str, name: str, sole: bool = True) -> bytes:
+    """One WARC record called ``name``; ``first`` is the response's page_id for a revisit, else None, and
+    ``sole`` says that this response is one record, so that its id is known."""
     http = HTTP.format(len(payload)).encode()
     head = ["WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}",
-            f"WARC-Record-ID: {record_id(page_id, digest)}", f"WARC-Date: {date}",
+            f"WARC-Record-ID: {name}", f"WARC-Date: {date}",
             f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http; msgtype=response"]
     if url is not None:
         head.append("WARC-Target-URI: " + quote(url, safe="!#$%&'()*+,/:;=?@[]~"))
     if page_id is not None:
         head.append(f"Page-ID: {page_id}")
     if first is not None:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(first, digest)}",
-                 f"Refers-To-Page-ID: {first}"]
+        head += [f"WARC-Profile: {PROFILE}", f"Refers-To-Page-ID: {first}"]
+        if sole:
+            head.append(f"WARC-Refers-To: {record_id(first, digest)}")
     block = http + payload if first is None else http
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -122,7 +127,8 @@ def read_seek_table(f, size: int) -> list[tuple[int, int]]:
 
 
 def with_revisits(pages: DataFrame, min_revisit: int = 100) -> DataFrame:
-    """(page_id, url, payload, digest, first): ``first`` is set for revisits.
+    """(page_id, url, payload, digest, first, sole, repeated): ``first`` is set for revisits, ``sole`` says
+    whether that response is one row, ``repeated`` whether (page_id, digest) comes more than once.
 
     Payload groups are formed on digests alone; html moves once, keyed by
     (page_id, digest), so a payload shared by a third of the pages is spread out.
@@ -130,12 +136,17 @@ def with_revisits(pages: DataFrame, min_revisit: int = 100) -> DataFrame:
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     p = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
     keys = (pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.length(payload).alias("n"))
-            .where(F.col("n") >= min_revisit).select("page_id", "digest").distinct())
-    firsts = (keys.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("c"))
-              .where("c > 1").select("digest", "first"))
-    later = (keys.join(firsts, "digest").where("page_id is null or page_id <> first").where("first is not null")
-             .select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "first"))
-    return p.join(later, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left").drop("p", "d")
+            .groupBy("page_id", "digest").agg(F.max("n").alias("n"), F.count("*").alias("rows")))
+    firsts = (keys.where(F.col("n") >= min_revisit).groupBy("digest")
+              .agg(F.min("page_id").alias("first"), F.count("*").alias("c"),
+                   F.min_by("rows", "page_id").alias("first_rows"))
+              .where("c > 1 and first is not null").select("digest", "first", "first_rows"))
+    marks = (keys.join(firsts, "digest", "left")
+             .withColumn("first", F.expr("case when page_id is null or page_id <> first then first end"))
+             .where("first is not null or rows > 1")
+             .select(F.col("page_id").alias("p"), F.col("digest").alias("d"), "first",
+                     (F.col("first_rows") == 1).alias("sole"), (F.col("rows") > 1).alias("repeated")))
+    return p.join(marks, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")), "left").drop("p", "d")
 
 
 def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, level: int = 3,
@@ -149,30 +160,32 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, lev
         task = TaskContext.get()
         name = f"pages-{task.partitionId():05d}-{task.taskAttemptId()}.warc.zst"
         out = squeeze = None
-        sizes, frame, entries, at = [], bytearray(), [], 0
+        sizes, frame, entries, at, n_records = [], bytearray(), [], 0, 0
 
         def flush():
             nonlocal at, frame, entries
             data = squeeze.compress(bytes(frame))
             out.write(data)
-            rows = [(pid, name, len(sizes), at, len(data), o, n) for pid, o, n in entries]
+            rows = [(pid, rid, name, len(sizes), at, len(data), o, n) for pid, rid, o, n in entries]
             sizes.append((len(data), len(frame)))
             at += len(data)
             frame, entries = bytearray(), []
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.string(), *[pa.int64()] * 5])],
-                names=["page_id", "bundle", "frame", "frame_offset", "frame_bytes", "record_offset", "record_bytes"])
+                [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 5])],
+                names=["page_id", "record_id", "bundle", "frame", "frame_offset", "frame_bytes", "record_offset", "record_bytes"])
 
         done = []
         for b in batches:
             for row in range(b.num_rows):
-                page_id, url, payload, digest, first = (b.column(k)[row].as_py() for k in range(5))
+                page_id, url, payload, digest, first, sole, repeated = (c[row].as_py() for c in b.columns)
                 if out is None:
                     fs.create_dir(base, recursive=True)
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
                     squeeze = zstandard.ZstdCompressor(level=level)
-                rec = make_record(page_id, url, payload, digest, first, date)
-                entries.append((page_id, len(frame), len(rec)))
+                rid = record_id(page_id, digest, f"{name}:{n_records}" if repeated else "")
+                rec = make_record(page_id, url, payload, digest, first, date, rid, bool(sole))
+                entries.append((page_id, rid, len(frame), len(rec)))
+                n_records += 1
                 frame += rec
                 if len(frame) >= frame_bytes:
                     done.append(flush())
@@ -183,7 +196,7 @@ def write_bundles(pages: DataFrame, folder: str, frame_bytes: int = 1 << 20, lev
             out.close()
         yield from done
 
-    ready = with_revisits(pages, min_revisit).select("page_id", "url", "payload", "digest", "first")
+    ready = with_revisits(pages, min_revisit).select("page_id", "url", "payload", "digest", "first", "sole", "repeated")
     return save(ready.mapInArrow(write, INDEX), "warc-index")
 
 

@@ -63,6 +63,21 @@ def test_warc_round_trip(spark, tmp_path):
         == sorted(want, key=key)
     for r in back:
         assert (r.payload is None) == (r.record_type == "revisit")
+    ids = [r.record_id for r in index.collect()]
+    assert len(set(ids)) == len(ids) == len(pages)                         # also of repeated rows and null ids
+    heads = {}
+    for e in index.collect():
+        with open(tmp_path / "bundles" / e.bundle, "rb") as f:
+            f.seek(e.frame_offset)
+            data = __import__("zstandard").ZstdDecompressor().decompress(f.read(e.frame_bytes))
+        _, head, _ = next(A.parse_records(data[e.record_offset:e.record_offset + e.record_bytes]))
+        assert head["WARC-Record-ID"] == e.record_id
+        heads[e.record_id] = head
+    told = [h for h in heads.values() if "WARC-Refers-To" in h]
+    assert {heads[h["WARC-Refers-To"]]["WARC-Type"] for h in told} == {"response"}
+    assert all(heads[h["WARC-Refers-To"]]["Page-ID"] == h["Refers-To-Page-ID"] for h in told)
+    # page 3 comes twice with one payload: its revisits name the page alone
+    assert {h["Refers-To-Page-ID"] for h in heads.values() if h["WARC-Type"] == "revisit" and h not in told} == {"3"}
     entry = index.where("page_id = 12").first().asDict()
     assert A.read_record(folder, entry)["payload"] == b"z" * 3_000_000
     import zstandard
