@@ -74,11 +74,12 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     n_codes = base.count()
     bits = segment_bits or min(16, max(4, n_codes.bit_length() - 1))
     parts = segment_exprs(dims, bits)
+    # dealt by value, so that it comes back in as many parts as there are tasks to probe it
+    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = save(base.select("code", F.explode(F.array(*[
         F.struct(F.lit(s).alias("seg"), F.expr(e).alias("value")) for s, (e, _) in enumerate(parts)])).alias("x"))
-        .select("x.seg", "x.value", "code"), "index")
+        .select("x.seg", "x.value", "code").repartition(n_tasks, "seg", "value"), "index")
     # bound: distance beyond which a code is no use to the query any more
-    n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     open_q = save(asked.select(F.col("code").alias("q")).distinct().withColumn("bound", F.lit(WORD * n_words)), "open")
     best = None
     most = max(b for _, b in parts)
