@@ -6,7 +6,9 @@ for every unfinished query, all values at exactly r bits from its own in every
 segment.  A code is taken where its first closest segment meets the query, so it
 comes up once in all.  After round r every code within
 ``segments * (r + 1) - 1`` bits has come up; a query ends when its kth distance lies
-within that.  Codes farther than a query's kth distance so far are dropped in the join.  Only the number of unfinished queries reaches the driver.
+within that.  Codes farther than a query's kth distance so far are dropped in the join,
+and segments that cannot bring a nearer one are not looked up.  No join is a broadcast:
+only the number of unfinished queries reaches the driver.
 
 Equal codes are one entry that keeps its ``k + 1`` smallest ids (no more can be
 among the k nearest of anything), so copies of a vector, however many, cost one.
@@ -59,6 +61,38 @@ def distance(a: str, b: str, n: int) -> str:
     return " + ".join(f"bit_count(get({a}, {i}) ^ get({b}, {i}))" for i in range(n))
 
 
+def probes(open_q: DataFrame, parts: list[tuple[str, int]], r: int) -> DataFrame:
+    """(q, bound, seg, value): every value at ``r`` bits from the query's own, per segment.
+
+    A code that no earlier round met has at least r differing bits in each of the m segments.  Within
+    ``bound`` = m r + b bits, m - b or more of its segments have exactly r, one of them among the first b + 1.
+    """
+    near = []
+    for s, (e, width) in enumerate(parts):
+        if r <= width:
+            masks = ",".join(str(sum(1 << i for i in c)) for c in combinations(range(width), r))
+            # one text literal: a literal per mask costs the driver's parser some KB each
+            each = (f"transform(cast(split('{masks}', ',') as array<bigint>), m -> struct({s} as seg, "
+                    f"({e.replace('code', 'q')} ^ m) as value))")
+            near.append(f"case when bound >= {len(parts) * r + s} then {each} else array() end")
+    return (open_q.select("q", "bound", F.explode(F.expr(f"flatten(array({', '.join(near)}))")).alias("x"))
+            .select("q", "bound", "x.seg", "x.value"))
+
+
+def meet(asked: DataFrame, index: DataFrame, parts: list[tuple[str, int]], n_words: int) -> DataFrame:
+    """(q, code, distance) of the codes that probes meet, each in its first closest segment and within the bound.
+
+    Both sides are shuffled: Spark's estimate of the probes leaves out how many rows a query
+    explodes into, so it would build them all on the driver for a broadcast.
+    """
+    far = [f"bit_count({e.replace('code', 'q')} ^ {e})" for e, _ in parts]
+    first = F.expr("case " + " ".join(
+        f"when {d} = least({', '.join(far)}, 999) then {s}" for s, d in enumerate(far)) + " end")
+    return (asked.hint("merge").join(index, ["seg", "value"])
+            .where((first == F.col("seg")) & (F.expr(distance("q", "code", n_words)) <= F.col("bound")))
+            .select("q", "code", F.expr(distance("q", "code", n_words)).alias("distance")))
+
+
 def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding",
           dims: int | None = None, segment_bits: int | None = None) -> DataFrame:
     """(query_id, rank, neighbour_id, distance): the k nearest of ``df`` for each row of ``queries``."""
@@ -84,24 +118,12 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     best = None
     most = max(b for _, b in parts)
     for r in range(most + 1):
-        near = []
-        for s, (e, width) in enumerate(parts):
-            if r <= width:
-                masks = ", ".join(f"{sum(1 << i for i in c)}L" for c in combinations(range(width), r))
-                near.append(f"transform(array({masks}), m -> struct({s} as seg, "
-                            f"({e.replace('code', 'q')} ^ m) as value))")
-        probes = open_q.repartition(n_tasks, "q").select("q", "bound", F.explode(F.expr(f"flatten(array({', '.join(near)}))")).alias("x")).select("q", "bound", "x.seg", "x.value")
-        far = [f"bit_count({e.replace('code', 'q')} ^ {e})" for e, _ in parts]
-        first = F.expr("case " + " ".join(
-            f"when {d} = least({', '.join(far)}, 999) then {s}" for s, d in enumerate(far)) + " end")
-        met = (probes.join(index, ["seg", "value"])
-               .where((first == F.col("seg")) & (F.expr(distance("q", "code", n_words)) <= F.col("bound")))
-               .select("q", "code", F.expr(distance("q", "code", n_words)).alias("distance")))
+        met = meet(probes(open_q.repartition(n_tasks, "q"), parts, r), index, parts, n_words)
         # k + 1 codes hold k rows besides the query itself
         ranked = Window.partitionBy("q").orderBy("distance", F.element_at("ids", 1)["id"])
         # all codes up to the distance at which k + 1 ids are reached
         upto = Window.partitionBy("q").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
-        new = met.join(base, "code").select("q", "code", "distance", "ids")
+        new = met.hint("merge").join(base, "code").select("q", "code", "distance", "ids")
         both = new if best is None else best.unionByName(new)
         top = save(both.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= k + 1)
                    .withColumn("have", F.coalesce(F.sum(F.size("ids")).over(upto), F.lit(0)))
@@ -112,7 +134,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
         sure = len(parts) * (r + 1) - 1
         kth = best.groupBy("q").agg(F.sum(F.size("ids")).alias("have"), F.max("distance").alias("kth"))
         full = F.col("have") >= k + 1
-        still = save(open_q.select("q").join(kth, "q", "left")
+        still = save(open_q.select("q").hint("merge").join(kth, "q", "left")
                      .where(~F.coalesce(full & (F.col("kth") <= sure), F.lit(False)))
                      .select("q", F.when(full, F.col("kth")).otherwise(F.lit(WORD * n_words)).alias("bound")), "open")
         drop_saved(open_q)
@@ -123,7 +145,7 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
             .select("q", "distance", F.col("x.id").alias("neighbour_id"),
                     F.explode(F.sequence(F.lit(1).cast("long"), F.col("x.copies"))).alias("_copy")))
     # one list per code, then dealt to the queries with that code: every list is bounded by k + 1 codes' ids
-    hits = (asked.select(F.col("id").alias("query_id"), F.col("code").alias("q")).distinct().join(rows, "q")
+    hits = (asked.select(F.col("id").alias("query_id"), F.col("code").alias("q")).distinct().hint("merge").join(rows, "q")
             .where("query_id <> neighbour_id"))
     order = Window.partitionBy("query_id").orderBy("distance", "neighbour_id", "_copy")
     return (hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

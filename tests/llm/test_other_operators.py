@@ -124,6 +124,16 @@ def test_hamming(spark, dims):
     assert H.top_k(df.limit(0), df.limit(0), k=7).count() == 0
 
 
+def test_hamming_probes_stay_off_the_driver(spark):
+    parts = H.segment_exprs(64, 16)
+    asked = spark.createDataFrame([([7], 64), ([9], 9), ([11], 7)], "q array<long>, bound int")
+    n = {(r.bound, r.seg): r["count"] for r in H.probes(asked, parts, 2).groupBy("bound", "seg").count().collect()}
+    assert n == {(64, 0): 120, (64, 1): 120, (64, 2): 120, (64, 3): 120, (9, 0): 120, (9, 1): 120}   # 9 = 4 * 2 + 1
+    index = spark.createDataFrame([(0, 7, [7])], "seg int, value long, code array<long>")
+    plan = H.meet(H.probes(asked, parts, 2), index, parts, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_licenses(spark):
     mit = LI.TEMPLATES["mit-text"]
     texts = [None, "", "word", "Released under the MIT License.", "x\nRELEASED under the MIT-licence... License\ny",
