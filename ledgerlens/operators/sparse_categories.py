@@ -59,3 +59,11 @@ def one_hot_sparse(df: DataFrame, categories: Categories, out: str = "one_hot")
     top = spark.createDataFrame([tuple(float(categories.sizes[c] - 1) for c in cols)], codes)
     encoder = OneHotEncoder(inputCols=codes, outputCols=parts, handleInvalid="keep", dropLast=True).fit(top)
     return VectorAssembler(inputCols=parts, outputCol=out).transform(encoder.transform(coded)).drop(*codes, *parts)
+
+
+def slots(vector: str) -> F.Column:
+    """The slots of a vector column that hold more than 0, ascending; a sparse vector is never written out in full."""
+    v = F.unwrap_udt(F.col(vector))
+    place = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))      # a dense vector has no indices
+    held = F.filter(F.arrays_zip(place.alias("i"), v["values"].alias("x")), lambda e: e["x"] > 0)
+    return F.transform(held, lambda e: e["i"])

@@ -14,7 +14,6 @@ import uuid
 from typing import Callable, Dict
 
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -277,12 +276,11 @@ def one_hot(spark, sf):
 
 @q("one_hot_sparse")
 def one_hot_sparse(spark, sf):
-    """Every customer key a category: the slots that an order's sparse vector holds."""
+    """Every customer key a category: the slots that an order's sparse vector holds, read from its indices."""
     orders = tbl(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     cats = SP.fit_categories(orders.where("o_orderkey % 3 > 0"), ["o_custkey", "o_orderpriority"])
     return SP.one_hot_sparse(orders, cats).select(
-        "o_orderkey", F.array_join(F.transform(F.filter(F.transform(
-            vector_to_array("one_hot"), lambda x, i: F.when(x > 0, i)), lambda i: i.isNotNull()), lambda i: i.cast("string")), ",").alias("slots"))
+        "o_orderkey", F.array_join(SP.slots("one_hot").cast("array<string>"), ",").alias("slots"))
 
 
 @q("prune_features")

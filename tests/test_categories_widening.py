@@ -32,6 +32,15 @@ def test_one_hot_of_a_hundred_thousand_categories(spark):
     assert slots == {0: [order["0"], 100_000], 7: [order["7"], 100_002], 99_999: [order["99999"]], 10 ** 7: [], None: [100_001]}
 
 
+def test_slots_of_sparse_and_dense_vectors(spark):
+    from pyspark.ml.linalg import SparseVector, Vectors
+    wide = 1 << 30                                                     # written out in full: 8 GB a row
+    rows = [(0, SparseVector(wide, [5, wide - 1], [1.0, 1.0])), (1, SparseVector(wide, [3, 4], [0.0, 1.0])),
+            (2, SparseVector(3, [], [])), (3, Vectors.dense(0.0, 1.0, 1.0))]
+    df = spark.createDataFrame(rows, ["k", "v"])
+    assert {r.k: r.s for r in df.select("k", SP.slots("v").alias("s")).collect()} == {0: [5, wide - 1], 1: [4], 2: [], 3: [1, 2]}
+
+
 def test_wider():
     assert W.wider(["int", "bigint", "int"]) == "bigint" and W.wider(["int", "float"]) == "double"
     assert W.wider(["float"]) == "float" and W.wider(["double", "string"]) == "string" and W.wider(["date", "int"]) == "string"
