@@ -85,3 +85,30 @@ def test_numbered_history_without_hot_groups(spark):
     exp = df.select("*", F.row_number().over(w).alias("seq"), *[F.lag("v", i).over(w).alias(f"lag_{i}")
                                                                  for i in range(1, 4)])
     assert sorted(map(tuple, got.select(*exp.columns).collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_latest_record_moves_numbered_rows_once(spark, sf, monkeypatch):
+    from ledgerlens import session
+    from ledgerlens.sources.fixtures import credit_products
+    seen, write = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df: (seen.append(df), write(df))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")              # a fair share no customer exceeds
+        products = credit_products(spark, sf)
+        got = A.latest_record(products, tiebreak=["o_orderkey"])
+        plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(id#") == 1 and "SortMergeJoin" in plan and "LeftSemi" not in plan
+        assert got.columns == products.columns and got.count() == products.select("id").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    hot = spark.createDataFrame([("a", i, i % 7) for i in range(90)] + [(str(i), 1, 2) for i in range(10)] + [(None, 3, 1)] * 2,
+                                "id string, rn int, k int")
+    even = spark.createDataFrame([(str(i % 40), i // 40, i) for i in range(160)] + [(None, 1, 500), (None, 1, 501), ("x", None, 1)], "id string, rn int, k int")
+    assert not A._even(hot, ["id"]) and A._even(even, ["id"])
+    assert sorted((r.id or "", r.rn, r.k) for r in A.latest_record(hot, tiebreak=["k"]).collect()) == sorted(
+        [("a", 89, 5), ("", 3, 1)] + [(str(i), 1, 2) for i in range(10)])
+    assert sorted((r.id or "", r.rn, r.k) for r in A.latest_record(even, tiebreak=["k"]).collect()) == sorted(
+        [("", 1, 501)] + [(str(i), 3, 120 + i) for i in range(40)])
