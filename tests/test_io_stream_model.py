@@ -143,3 +143,9 @@ def test_registered_boosting_is_the_whole_search(spark, sf, monkeypatch):
     C.REGISTRY["random_search_cv"](spark, sf)
     assert asked["search"] == {"n_iter": 30, "n_folds": 4, "max_iter": 5000}
     assert asked["gbt"]["max_iter"] == 5000 and asked["gbt"]["valid_col"] == "is_valid"
+
+
+def test_forest_keeps_the_node_of_every_row(spark):
+    df = spark.range(400).selectExpr("cast(id as string) id", "1 rn", "cast((id * 7) % 10 > 4 as int) target", "(id * 7) % 10 + id % 3 x", "id % 11 y")
+    model = ML.fit_rf(df, n_trees=5, max_depth=4)
+    assert model.stages[-1].getCacheNodeIds() and ML.evaluate_model(model, df).first()["roc_auc"] > 0.9
