@@ -143,11 +143,12 @@ def write_shards(spark, sf, drop_upper: bool = True, one_file: bool = False) ->
     rows = cp(spark, sf).withColumn("shard", (F.col("o_orderkey") % 12).cast("int"))
     if one_file:
         rows = rows.repartition("shard")
+    if not drop_upper:                               # one schema, one pass over the products
+        IO.sink_parquet(rows, root, mode="append", partition_by=["shard"])
+        return root
     lo, hi = rows.filter(F.col("shard") < 6), rows.filter(F.col("shard") >= 6)
-    if drop_upper:
-        hi = hi.drop("pre_loans_next_pay_summ")
     IO.sink_parquet(lo, root, mode="append", partition_by=["shard"])
-    IO.sink_parquet(hi, root, mode="append", partition_by=["shard"])
+    IO.sink_parquet(hi.drop("pre_loans_next_pay_summ"), root, mode="append", partition_by=["shard"])
     return root
 
 

@@ -145,6 +145,17 @@ def test_registered_boosting_is_the_whole_search(spark, sf, monkeypatch):
     assert asked["gbt"]["max_iter"] == 5000 and asked["gbt"]["valid_col"] == "is_valid"
 
 
+def test_shards_of_one_schema_are_written_in_one_pass(spark, sf, monkeypatch):
+    from ledgerlens.plans import catalog as C
+    calls, write = [], C.IO.sink_parquet
+    monkeypatch.setattr(C.IO, "sink_parquet", lambda df, *a, **k: (calls.append(df), write(df, *a, **k))[1])
+    root = C.write_shards(spark, sf, drop_upper=False, one_file=True)
+    assert len(calls) == 1
+    back = spark.read.parquet(root)
+    assert back.count() == C.cp(spark, sf).count() and back.select("shard").distinct().count() == 12
+    assert back.select("shard", F.input_file_name()).distinct().count() == 12
+
+
 def test_forest_keeps_the_node_of_every_row(spark):
     df = spark.range(400).selectExpr("cast(id as string) id", "1 rn", "cast((id * 7) % 10 > 4 as int) target", "(id * 7) % 10 + id % 3 x", "id % 11 y")
     model = ML.fit_rf(df, n_trees=5, max_depth=4)
