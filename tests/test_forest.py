@@ -76,3 +76,18 @@ def test_fit_rf_grows_no_forest_of_sparks_and_persists(spark, monkeypatch):
     assert score(again) == pytest.approx(score(model), abs=1e-9)
     assert again.stages[-1].featureImportances.toArray() == pytest.approx(model.stages[-1].featureImportances.toArray(), abs=1e-9)
     assert len(model.stages[-1].trees) == 7 and again.stages[-1].getMaxDepth() == 4
+
+
+def test_ablation_prepares_once_and_has_the_forests_of_separate_fits(spark, monkeypatch):
+    rng = random.Random(4)
+    data = [(str(i), 1, int(rng.random() < 0.2 + 0.6 * (i % 7 > 3)), float(i % 7), rng.random(), None if i % 5 == 0 else rng.random()) for i in range(900)]
+    df = materialize(spark.createDataFrame(data, "id string, rn int, target int, a double, b double, c double"))
+    groups = {"first": ["a"], "holes": ["c"], "none": []}
+    apart = ML.group_ablation(df, groups, fit=lambda tr, fs: ML.fit_rf(tr, fs, n_trees=100, max_depth=10, seed=42)).collect()
+    calls, real = [], ML.median_values
+    monkeypatch.setattr(ML, "median_values", lambda *a: (calls.append(1), real(*a))[1])
+    once = ML.group_ablation(df, groups).collect()
+    assert len(calls) == 1 and [r.group for r in once] == [r.group for r in apart]
+    for a, b in zip(once, apart):
+        assert (a.n_cols, a.roc_auc, a.delta_auc) == pytest.approx((b.n_cols, b.roc_auc, b.delta_auc), abs=1e-9)
+    assert once[1].delta_auc < -0.1
