@@ -91,3 +91,22 @@ def test_ablation_prepares_once_and_has_the_forests_of_separate_fits(spark, monk
     for a, b in zip(once, apart):
         assert (a.n_cols, a.roc_auc, a.delta_auc) == pytest.approx((b.n_cols, b.roc_auc, b.delta_auc), abs=1e-9)
     assert once[1].delta_auc < -0.1
+
+
+def test_permuted_forest_scores_are_those_of_whole_rows(spark, monkeypatch):
+    rng = random.Random(5)
+    data = [(str(i), 1, int(rng.random() < 0.2 + 0.6 * (i % 7 > 3)), float(i % 7), rng.random(), None if i % 5 == 0 else float(i % 3)) for i in range(700)]
+    df = materialize(spark.createDataFrame(data, "id string, rn int, target int, a double, b double, c double"))
+    model = ML.fit_rf(df, n_trees=9, max_depth=6)
+    with monkeypatch.context() as m:
+        m.setattr(ML, "ForestModel", type(None))                  # every row scored whole
+        whole = ML.permutation_importance(model, df, n_repeats=2).collect()
+    from ledgerlens.plans import permuted as P
+    monkeypatch.setattr(ML, "_permuted", lambda *a: pytest.fail("every row scored whole"))
+    for rows, chunk in ((2_000_000, 1 << 15), (150, 64)):          # one range of scores, five ranges
+        monkeypatch.setattr(P, "RANGE_ROWS", rows)
+        monkeypatch.setattr(P, "CHUNK_ROWS", chunk)
+        got = ML.permutation_importance(model, df, n_repeats=2).collect()
+        assert [r.feature for r in got] == [r.feature for r in whole] and got[0].feature == "a"
+        for x, y in zip(got, whole):
+            assert tuple(x)[1:] == pytest.approx(tuple(y)[1:], abs=1e-9)
